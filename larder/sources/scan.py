@@ -17,6 +17,16 @@ def decoded_path(c: Column | str) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B"))), col)
 
 
+def any_case_glob(*suffixes: str) -> str:
+    """File name pattern for suffixes in any letter case."""
+    folded = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in s) for s in suffixes]
+    return "*.{" + ",".join(folded) + "}"
+
+
+JSON_LINES = any_case_glob("jsonl", "ndjson", "jsonl.gz")
+JSON_FILES = any_case_glob("json")
+
+
 def _suffix_pattern(extensions: Sequence[str]) -> str:
     return r"\.(" + "|".join(extensions) + ")$"
 
@@ -54,14 +64,14 @@ def _records(rows: DataFrame, mode: str) -> DataFrame:
 
 
 def scan_jsonl(
-    spark: SparkSession, path: str, mode: str = "permissive", glob: str = "*.{jsonl,ndjson,jsonl.gz}"
+    spark: SparkSession, path: str, mode: str = "permissive", glob: str = JSON_LINES
 ) -> DataFrame:
     """One row per non-empty line: ``file, block, pos, value, v VARIANT``."""
     return _records(scan_text(spark, path, glob), mode)
 
 
 def scan_json_files(
-    spark: SparkSession, path: str, mode: str = "permissive", glob: str = "*.json"
+    spark: SparkSession, path: str, mode: str = "permissive", glob: str = JSON_FILES
 ) -> DataFrame:
     """One row per array element or single object of ``*.json`` files.
 
