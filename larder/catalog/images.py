@@ -62,7 +62,7 @@ def image_metrics(spark: SparkSession, folder: str) -> DataFrame:
     w, h = F.col("image.width"), F.col("image.height")
     return images.select(
         "key", w.alias("width"), h.alias("height"), F.round(aspect_ratio(w, h), 6).alias("aspect"),
-        F.round(I.blur("image"), 3).alias("blur"),
+        F.round(F.sqrt(I.blur("image")), 4).alias("blur_deviation"),
     )
 
 
@@ -166,7 +166,7 @@ QUERIES = {
 SQL = {
     "image_metrics": f"""
         WITH {SQL_METRICS}
-        SELECT key, w AS width, h AS height, round(aspect, 6) AS aspect, round(blur, 3) AS blur FROM metrics""",
+        SELECT key, w AS width, h AS height, round(aspect, 6) AS aspect, round(sqrt(blur), 4) AS blur_deviation FROM metrics""",
     "image_reasons": IMAGE_REASONS,
     "image_records": f"""
         WITH {SQL_SHAPES}

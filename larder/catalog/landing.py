@@ -109,7 +109,7 @@ def recipe_index(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct ids per stored JSON object: at the root, and one level down in its lists."""
     orders = B.table(spark, folder, "orders")
     root = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.array(F.struct(F.col("o_custkey").alias("id"))).alias("items")))
-    listed = F.to_json(F.array(F.struct(F.col("o_custkey").alias("id"), F.lit(1).alias("n")), F.struct(F.lit(2).alias("n"))))
+    listed = F.to_json(F.array(F.struct(F.col("o_custkey").alias("id"), F.lit(1).alias("n")), F.struct(F.lit(None).cast("bigint").alias("id"), F.lit(2).alias("n"))))
     suffix = F.when(F.pmod("o_orderkey", F.lit(2)) == 0, ".json").otherwise(".jsonl")
     key = F.concat(F.col("o_orderpriority"), suffix)
     texts = orders.select(key.alias("key"), root.alias("j")).union(orders.select(key, listed))

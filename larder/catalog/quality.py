@@ -12,6 +12,7 @@ from larder.operators import outliers as O
 from larder.operators import reports as R
 from larder.plans.exploitation import document_entries, ingest_flags, metadata_text
 from larder.plans.trusted import nutrition_columns, trust_documents
+from larder.session import staged
 
 
 def _rounded(bounds: DataFrame, columns: list[str], label: str) -> DataFrame:
@@ -85,7 +86,10 @@ def _text_list(c: Column) -> Column:
 
 
 def merged_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as merged recipes: first line, source and text as texts, sizes and labels as nutrition."""
+    """Documents as a stored table of merged recipes.
+
+    First line, source and text are the texts, sizes and labels the nutrition data.
+    """
     labels = B.table(spark, folder, "labels")
     docs = B.table(spark, folder, "documents").join(labels, "doc_id", "left")
     first = F.split_part("text", F.lit("\n"), F.lit(1))
@@ -107,9 +111,10 @@ def merged_documents(spark: SparkSession, folder: str) -> DataFrame:
     entries = [F.struct(F.lit(k).alias("k"), V.parse_json(F.to_json(F.struct(v.alias("v")))).alias("v")) for k, v in values.items()]
     inner = F.transform(F.array(*entries), lambda e: F.struct(e["k"], F.try_variant_get(e["v"], "$.v", "variant").alias("v")))
     present = F.filter(inner, lambda e: e["v"].isNotNull())
-    return docs.select(
+    merged = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.lit(0).cast("bigint").alias("part"), F.map_from_entries(present).alias("fields")
     )
+    return staged(merged, "merged")
 
 
 def _ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,8 +192,10 @@ FROM g
 def nutrition_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Chosen nutrition fields, numeric values by JSON type, and the derived flags."""
     rows = nutrition_columns(merged_documents(spark, folder))
+    numbers = F.col("nutrition_values")
     return rows.select(
-        "id", "totals_key", "per_ingredient_key", "energy", "fat", "protein", "salt",
+        "id", "totals_key", "per_ingredient_key", numbers[0].alias("energy"), numbers[1].alias("fat"),
+        numbers[2].alias("protein"), numbers[3].alias("salt"),
         "has_nutrition_data", "totals_dropped", "nutrition_normalized",
     )
 

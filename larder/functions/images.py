@@ -26,8 +26,9 @@ MODES = {1: 0, 3: 16, 4: 24}
 
 def raster(height: int, width: int, channels: int, data: bytes) -> np.ndarray | None:
     """Height x width x channels array, or None when the row holds no valid raster."""
-    if data is None or height is None or height < 1 or width < 1:
+    if data is None or pd.isna(height) or height < 1 or width < 1:
         return None
+    height, width, channels = int(height), int(width), int(channels)
     pixels = np.frombuffer(data, dtype=np.uint8)
     if pixels.size != height * width * channels:
         return None

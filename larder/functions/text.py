@@ -69,13 +69,21 @@ def to_ascii(text: Column | str, extra: dict[str, str] | None = None) -> Column:
     usual case, are recognised by one comparison of byte and character counts and left alone.
     """
     c = _col(text)
+    return F.when(is_ascii(c), c).otherwise(_folded(c, extra))
+
+
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
+def _folded(c: Column, extra: dict[str, str] | None) -> Column:
     singles, longer = {}, {}
     for char, repl in {**fold_map(), **EXPANSIONS, **(extra or {})}.items():
         (singles if len(repl) == 1 else longer)[char] = repl
     folded = F.translate(c, "".join(singles), "".join(singles.values()))
     for char, repl in longer.items():
         folded = F.replace(folded, F.lit(char), F.lit(repl))
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(folded)
+    return folded
 
 
 def collapse_spaces(text: Column | str) -> Column:
@@ -83,9 +91,13 @@ def collapse_spaces(text: Column | str) -> Column:
 
 
 def remove_words(text: Column | str, words: Sequence[str]) -> Column:
-    """Drop the given words from a single-spaced text; the membership test is a hash look-up."""
-    kept = F.filter(F.split(_col(text), " "), lambda t: (t != "") & ~t.isin(*words))
-    return F.array_join(kept, " ")
+    """Drop the given words from a single-spaced text; the membership test is a hash look-up.
+
+    The word list goes into the plan as one SQL lambda, not as one literal column per word.
+    """
+    listed = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+    stays = F.expr(f"t -> t <> '' AND t NOT IN ({listed})")
+    return F.array_join(F.call_function("filter", F.split(_col(text), " "), stays), " ")
 
 
 def clean_text(
@@ -95,7 +107,8 @@ def clean_text(
     extra: dict[str, str] | None = None,
 ) -> Column:
     """Lower-case, transliterate, blank punctuation, collapse spaces, drop stop words; null -> ''."""
-    t = to_ascii(F.lower(F.coalesce(_col(text), F.lit(""))), extra)
+    raw = F.coalesce(_col(text), F.lit(""))
+    t = F.when(is_ascii(raw), F.lower(raw)).otherwise(_folded(F.lower(raw), extra))
     if punctuation:
         t = F.regexp_replace(t, r"[^\w\s]", " ")
     t = collapse_spaces(t)
@@ -161,10 +174,28 @@ def preview(text: Column | str, width: int = 180) -> Column:
     return F.when(F.length(t) <= width, t).otherwise(F.concat(cut, F.lit("…")))
 
 
+def _rounded(v: Column, digits: int) -> Column:
+    """Nearest multiple of ``10**-digits`` to the exact binary value, exact halves to even.
+
+    The scaled product is rounded by the hardware; splitting the value in two halves of 26 bits gives
+    the error of that product, which settles values that look like a half but are not.
+    """
+    scale = 10.0**digits
+    size = F.abs(v)
+    scaled, shifted = size * scale, size * F.lit(134217729.0)
+    high = shifted - (shifted - size)
+    error = (high * scale - scaled) + (size - high) * scale
+    whole = F.floor(scaled).cast("double")
+    rest = scaled - whole
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (F.floor(scaled) % 2 == 1))))
+    nearest = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    return F.when(size < 1e12, F.when(v < 0, -nearest).otherwise(nearest)).otherwise(v)
+
+
 def fixed(value: Column | str, digits: int) -> Column:
-    """Fixed-point text with halves rounded to even; null stays null."""
-    v = _col(value).cast("double")
-    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f", F.bround(v, digits)))
+    """Fixed-point text, correctly rounded; null stays null."""
+    v = F.transform(F.array(_col(value).cast("double")), lambda x: _rounded(x, digits))[0]
+    return F.when(_col(value).isNotNull(), F.format_string(f"%.{digits}f", v))
 
 
 def percent(part: Column, whole: Column) -> Column:

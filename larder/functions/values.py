@@ -46,6 +46,21 @@ def finite_number(v: Column | str, path: str = "$") -> Column:
     return F.when(numeric & finite, d)
 
 
+def finite_numbers(v: Column | str, names: Sequence[str]) -> Column:
+    """Array of the finite numbers at the given fields of a VARIANT, null where there is none.
+
+    The value is bound to a lambda variable, so however many fields are read it is computed once.
+    """
+    c = _col(v)
+    return F.transform(F.array(c), lambda t: F.array(*[finite_number(t, f"$.{n}") for n in names]))[0]
+
+
+def first_present_value(fields: Column | str, names: Sequence[str]) -> Column:
+    """Value of the first candidate that the map holds with a non-null value, else null."""
+    f = _col(fields)
+    return F.coalesce(*[F.when(is_present(f[n]), f[n]) for n in names])
+
+
 def first_present(fields: Column | str, names: Sequence[str]) -> Column:
     """Name of the first candidate that the map holds with a non-null value, else null."""
     f = _col(fields)

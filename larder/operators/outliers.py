@@ -185,6 +185,23 @@ def within_bounds(columns: Sequence[str], bounds: DataFrame, values: dict[str, C
     return verdict
 
 
+def all_within(values: Column | str, names: Sequence[str], bounds: DataFrame) -> Column:
+    """The same test for an array of finite values in the order of ``names``.
+
+    The one row of bounds is fetched, so that the array is read once against literals.
+    """
+    row = bounds.first()
+    limits = F.array(
+        *[
+            F.struct(*[F.lit(row[f"{n}_{end}"]).cast("double").alias(end) for end in ("lo", "hi")])
+            for n in names
+        ]
+    )
+    v = F.col(values) if isinstance(values, str) else values
+    tests = F.zip_with(v, limits, lambda x, r: F.coalesce(x.between(r["lo"], r["hi"]), F.lit(True)))
+    return F.forall(tests, lambda t: t)
+
+
 def iqr_filter(df: DataFrame, columns: Sequence[str], bounds: DataFrame) -> DataFrame:
     """Rows inside the bounds of every column."""
     return df.filter(within_bounds(columns, bounds))

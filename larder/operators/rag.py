@@ -17,8 +17,9 @@ def load_images(hits: DataFrame, images: DataFrame, max_images: int = 3) -> Data
     """
     tried = hits.filter(F.col("rank") <= max_images).select("query_id", "rank", "bucket", "key")
     found = tried.join(images.select("bucket", "key", "content"), ["bucket", "key"])
+    b64 = F.translate(F.base64("content"), "\r\n", "")
     return found.filter(F.col("content").isNotNull()).select(
-        "query_id", "rank", "bucket", "key", F.base64("content").alias("b64")
+        "query_id", "rank", "bucket", "key", b64.alias("b64")
     )
 
 

@@ -16,38 +16,35 @@ def token_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def document_report(
-    flagged: DataFrame, bounds: DataFrame, token_columns: Sequence[str] = (), with_images: DataFrame | None = None
+    flags: DataFrame, kept: DataFrame, token_columns: Sequence[str], bounds: DataFrame, ids: DataFrame
 ) -> DataFrame:
-    """One row over all records read, flagged with ``malformed, has_image, outlier, totals_dropped``.
+    """One row on a document stage.
 
-    A record is kept when it is well formed, has an image and is no outlier; the count of records after
-    the id test is taken behind the outlier filter, as the stage does.
+    ``flags`` has one narrow row per record read (``malformed, has_image, outlier, totals_dropped``),
+    ``kept`` the records that stayed with their texts. A record is kept when it is well formed, has an
+    image and is no outlier; the count after the id test is taken behind the outlier filter.
     """
-    kept = F.col("kept")
-    rows = flagged.withColumn(
-        "kept", F.coalesce(~F.col("malformed") & F.col("has_image") & ~F.col("outlier"), F.lit(False))
-    )
-    dropped = ~F.col("malformed") & F.col("has_image") & F.col("outlier")
-    total, written = F.count(F.lit(1)), F.count_if(kept)
-    report = rows.agg(
+    candidate = ~F.col("malformed") & F.col("has_image")
+    stays = F.coalesce(candidate & ~F.col("outlier"), F.lit(False))
+    total, written = F.count(F.lit(1)), F.count_if(stays)
+    means = token_means(kept, token_columns).select(
+        F.struct(*[F.round(c, 6).alias(c) for c in token_columns])
+    ).scalar()
+    return flags.agg(
         total.alias("total_doc_count"),
         F.count_if("malformed").alias("malformed_doc_count"),
         written.alias("kept_after_id"),
         written.alias("written_doc_count"),
         F.lit(0).cast("bigint").alias("dropped_missing_nutrition"),
-        F.count_if(dropped).alias("dropped_outliers"),
-        F.count_if(kept & F.col("totals_dropped")).alias("nutrition_totals_dropped"),
+        F.count_if(candidate & F.col("outlier")).alias("dropped_outliers"),
+        F.count_if(stays & F.col("totals_dropped")).alias("nutrition_totals_dropped"),
         percent(written, total).alias("filtering_rate"),
-        *[
-            F.round(F.coalesce(F.avg(F.when(kept, token_len(c))), F.lit(0.0)), 6).alias(f"tokens_{c}")
-            for c in token_columns
-        ],
+    ).select(
+        "*",
+        *[means[c].alias(f"tokens_{c}") for c in token_columns],
+        bounds.select(F.to_json(F.struct("*"))).scalar().alias("iqr_thresholds"),
+        ids.agg(F.countDistinct("id")).scalar().alias("unique_ids_with_images"),
     )
-    extra = [bounds.select(F.to_json(F.struct("*"))).scalar().alias("iqr_thresholds")]
-    if with_images is not None:
-        ids = with_images.agg(F.countDistinct("id").alias("n"))
-        extra.append(ids.scalar().alias("unique_ids_with_images"))
-    return report.select("*", *extra)
 
 
 def ingest_counters(items: DataFrame, ok: str = "ok", file: str = "file") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import keys as K
@@ -81,17 +81,19 @@ def _as_list(value: Column) -> Column:
 
 
 def nutrition_columns(main: DataFrame, names: NutritionFields = NutritionFields()) -> DataFrame:
-    """Add the chosen nutrition keys, the numeric totals and the nutrition flags."""
+    """Add the chosen nutrition keys, ``nutrition_values`` (finite numbers of the totals) and the flags."""
     fields = F.col("fields")
-    keyed = main.withColumn("totals_key", V.first_present(fields, names.totals)).withColumn(
-        "per_ingredient_key", V.first_present(fields, names.per_ingredient)
+    totals = V.first_present_value(fields, names.totals)
+    keyed = main.withColumns(
+        {
+            "totals_key": V.first_present(fields, names.totals),
+            "per_ingredient_key": V.first_present(fields, names.per_ingredient),
+            "nutrition_values": V.finite_numbers(totals, names.numeric),
+        }
     )
-    has_totals = F.col("totals_key").isNotNull()
-    has_parts = F.col("per_ingredient_key").isNotNull()
-    totals = fields[F.col("totals_key")]
+    has_totals, has_parts = F.col("totals_key").isNotNull(), F.col("per_ingredient_key").isNotNull()
     return keyed.withColumns(
         {
-            **{n: F.when(has_totals, V.finite_number(totals, f"$.{n}")) for n in names.numeric},
             "has_nutrition_data": has_totals | has_parts,
             "totals_dropped": F.lit(names.drop_totals) & has_totals & has_parts,
             "nutrition_normalized": has_parts & (F.lit(names.drop_totals) | ~has_totals),
@@ -123,47 +125,47 @@ def trust_documents(
     sources: TextSources = TextSources(),
     require_nutrition: bool = False,
     method: str = "auto",
+    out: str | None = None,
 ) -> dict[str, DataFrame]:
     """Trusted recipes from merged records (``id, part, fields``) and the ids that have images.
 
     Returns ``trusted``, the one-row ``bounds`` and the one-row ``report``. The ids are tested first;
     bounds come from a projection of the nutrition numbers alone; texts are cleaned only for records
-    that stay. Later parts of very wide records follow their id.
+    that stay. Later parts of very wide records follow their id. With ``out`` the recipes and the
+    report are written, and the report's token means are read from the stored recipes.
     """
     if ids.isEmpty():
         raise ValueError("no recipe ids with images")
     main = merged.filter(F.col("part") == 0)
     with_image = nutrition_columns(semi_join(main, ids, "id"), names)
-    bounds = O.iqr_bounds(with_image.select(*names.numeric), names.numeric, method=method)
-    inside = O.within_bounds(names.numeric, bounds)
-    keep = inside & F.col("has_nutrition_data") if require_nutrition else inside
+    numbers = with_image.select("nutrition_values").select(
+        *[F.col("nutrition_values")[i].alias(n) for i, n in enumerate(names.numeric)]
+    )
+    bounds = O.iqr_bounds(numbers, names.numeric, method=method)
+    bounds = merged.sparkSession.createDataFrame([bounds.first()], bounds.schema)
+    keep = O.all_within("nutrition_values", names.numeric, bounds)
+    if require_nutrition:
+        keep = keep & F.col("has_nutrition_data")
     cleaned = text_columns(with_image.filter(keep), sources)
     dropped = F.col("totals_dropped")
-    slim = F.map_filter("fields", lambda k, v: ~(dropped & (k == F.col("totals_key"))))
+    slim = F.map_filter("fields", lambda k, v: k != F.col("totals_key"))
     added = ("has_nutrition_data", "nutrition_normalized", *TEXT_COLUMNS)
     trusted = cleaned.withColumn("fields", F.when(dropped, slim).otherwise(F.col("fields"))).select(
         "id", "part", "fields", *added
     )
-    rest = semi_join(merged.filter(F.col("part") > 0), trusted, "id")
+    rest = semi_join(merged.filter(F.col("part") > 0), with_image.filter(keep), "id")
     whole = trusted.unionByName(rest.select("id", "part", "fields"), allowMissingColumns=True)
+    if out is not None:
+        whole.write.mode("overwrite").parquet(f"{out}/documents")
+        whole = merged.sparkSession.read.parquet(f"{out}/documents")
 
     marks = ids.select("id").distinct().withColumn("has_image", F.lit(True))
-    flagged = text_columns(nutrition_columns(main.join(marks, "id", "left"), names), sources).withColumns(
-        {
-            "has_image": F.coalesce("has_image", F.lit(False)),
-            "malformed": F.lit(False),
-            "outlier": ~keep,
-        }
+    flags = nutrition_columns(main, names).select(
+        "id", F.lit(False).alias("malformed"), "totals_dropped", (~keep).alias("outlier")
     )
-    return {
-        "trusted": whole,
-        "bounds": bounds,
-        "report": document_report(flagged, bounds, TEXT_COLUMNS, ids),
-    }
-
-
-def write_trusted(spark: SparkSession, result: dict[str, DataFrame], out: str) -> DataFrame:
-    """Write the trusted recipes and their report; returns the stored recipes."""
-    result["trusted"].write.mode("overwrite").parquet(f"{out}/documents")
-    sinks.write_report(result["report"], f"{out}/report")
-    return spark.read.parquet(f"{out}/documents")
+    flags = flags.join(marks, "id", "left").withColumn("has_image", F.coalesce("has_image", F.lit(False)))
+    kept = whole.filter(F.col("part") == 0)
+    report = document_report(flags, kept, TEXT_COLUMNS, bounds, ids)
+    if out is not None:
+        sinks.write_report(report, f"{out}/report")
+    return {"trusted": whole, "bounds": bounds, "report": report}

@@ -18,7 +18,6 @@ def make_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.driver.bindAddress", "127.0.0.1")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
