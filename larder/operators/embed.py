@@ -40,7 +40,7 @@ def signed_counts(hashes: Column, dim: int) -> Column:
         rows = np.repeat(np.arange(len(lists)), lengths)
         signs = np.where((h // dim) % 2 == 0, 1.0, -1.0)
         sums = np.bincount(rows * dim + h % dim, weights=signs, minlength=len(lists) * dim)
-        vectors = sums.reshape(len(lists), dim)
+        vectors = sums.astype(np.float64).reshape(len(lists), dim)
         norms = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
         vectors = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
         flat = pa.array(vectors.astype(np.float32).ravel(), type=pa.float32())

@@ -103,7 +103,7 @@ def scan_documents(spark: SparkSession, path: str, mode: str = "permissive") ->
         "file",
         "block",
         "pos",
-        K.short_tag("file").alias("tag"),
+        K.short_tag(F.regexp_replace("file", r"(?i)\.gz$", "")).alias("tag"),
         F.try_variant_get("v", "$.id", "string").alias("id"),
         "v",
     )
