@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.functions import text as T
+from larder.session import spread
+
+
+TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def quoted(value: str) -> str:

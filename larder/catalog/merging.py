@@ -10,6 +10,7 @@ from larder.functions import text as T
 from larder.operators import joins as J
 from larder.operators import merge as M
 from larder.operators.ranking import chunk_of, group_rank, keys_per_id
+from larder.session import staged
 
 
 def records(df: DataFrame, id_col: str, tag: str, file: str, order: str, *fields: str) -> DataFrame:
@@ -153,7 +154,7 @@ def _text_hash() -> Column:
 def _hashed(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as images of a recipe: the language groups, the cleaned text is the hash."""
     docs = B.table(spark, folder, "documents")
-    return docs.select("doc_id", "lang", "n_chars", _text_hash().alias("hash"))
+    return staged(docs.select("doc_id", "lang", "n_chars", _text_hash().alias("hash")), "hashes")
 
 
 SQL_HASHED = f"h AS (SELECT doc_id, lang, n_chars, md5({B.sql_clean('text')}) AS hash FROM documents)"

@@ -12,7 +12,7 @@ from larder.operators import outliers as O
 from larder.operators import reports as R
 from larder.plans.exploitation import document_entries, ingest_flags, metadata_text
 from larder.plans.trusted import nutrition_columns, trust_documents
-from larder.session import staged
+from larder.session import staged, staging_path
 
 
 def _rounded(bounds: DataFrame, columns: list[str], label: str) -> DataFrame:
@@ -141,7 +141,8 @@ f AS (SELECT m.*, {B.sql_without_stopwords(B.sql_clean("title_raw"))} AS title_c
 
 
 def _trusted(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return trust_documents(merged_documents(spark, folder), _ids(spark, folder))
+    out = staging_path(spark, "trusted")
+    return trust_documents(merged_documents(spark, folder), _ids(spark, folder), out=out)
 
 
 def trusted_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larder.functions.values import bind
+
 # The English stop words of the public NLTK corpus (179 words).
 ENGLISH_STOPWORDS = tuple(
     """
@@ -80,10 +82,14 @@ def _folded(c: Column, extra: dict[str, str] | None) -> Column:
     singles, longer = {}, {}
     for char, repl in {**fold_map(), **EXPANSIONS, **(extra or {})}.items():
         (singles if len(repl) == 1 else longer)[char] = repl
-    folded = F.translate(c, "".join(singles), "".join(singles.values()))
-    for char, repl in longer.items():
-        folded = F.replace(folded, F.lit(char), F.lit(repl))
-    return folded
+
+    def expand(t: Column) -> Column:
+        out = t
+        for char, repl in longer.items():
+            out = F.replace(out, F.lit(char), F.lit(repl))
+        return F.when(is_ascii(t), t).otherwise(out)
+
+    return bind(F.translate(c, "".join(singles), "".join(singles.values())), expand)
 
 
 def collapse_spaces(text: Column | str) -> Column:
@@ -109,9 +115,7 @@ def clean_text(
     """Lower-case, transliterate, blank punctuation, collapse spaces, drop stop words; null -> ''."""
     raw = F.coalesce(_col(text), F.lit(""))
     t = F.when(is_ascii(raw), F.lower(raw)).otherwise(_folded(F.lower(raw), extra))
-    if punctuation:
-        t = F.regexp_replace(t, r"[^\w\s]", " ")
-    t = collapse_spaces(t)
+    t = F.trim(F.regexp_replace(t, r"\W+", " ")) if punctuation else collapse_spaces(t)
     return remove_words(t, stop) if stop else t
 
 
@@ -123,9 +127,12 @@ def tokens(text: Column | str) -> Column:
 
 def token_len(text: Column | str) -> Column:
     """Number of whitespace tokens, 0 for null."""
-    t = collapse_spaces(F.coalesce(_col(text), F.lit("")))
-    spaces = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
-    return F.when(t == "", F.lit(0)).otherwise(spaces + 1)
+
+    def count(t: Column) -> Column:
+        spaces = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
+        return F.when(t == "", F.lit(0)).otherwise(spaces + 1)
+
+    return bind(collapse_spaces(F.coalesce(_col(text), F.lit(""))), count)
 
 
 def join_text_list(objs: Column | str) -> Column:
@@ -141,7 +148,7 @@ def join_text_list_stripped(objs: Column | str) -> Column:
 
 def first_filled(*options: Column | str) -> Column:
     """First option that is neither null nor empty, else ''."""
-    return F.coalesce(*[F.nullif(_col(o), F.lit("")) for o in options], F.lit(""))
+    return F.coalesce(*[bind(_col(o), lambda t: F.when(t != "", t)) for o in options], F.lit(""))
 
 
 def document_text(title: Column | str, ingredients: Column | str, instructions: Column | str) -> Column:
@@ -194,7 +201,7 @@ def _rounded(v: Column, digits: int) -> Column:
 
 def fixed(value: Column | str, digits: int) -> Column:
     """Fixed-point text, correctly rounded; null stays null."""
-    v = F.transform(F.array(_col(value).cast("double")), lambda x: _rounded(x, digits))[0]
+    v = bind(_col(value).cast("double"), lambda x: _rounded(x, digits))
     return F.when(_col(value).isNotNull(), F.format_string(f"%.{digits}f", v))
 
 

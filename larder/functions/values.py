@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +12,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often the expression refers to it.
+
+    Branches of a conditional do not share common subexpressions; a lambda variable does.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_json(text: Column | str) -> Column:
     """VARIANT of a JSON text, null when it is malformed."""
     return F.try_parse_json(_col(text))
@@ -52,7 +60,7 @@ def finite_numbers(v: Column | str, names: Sequence[str]) -> Column:
     The value is bound to a lambda variable, so however many fields are read it is computed once.
     """
     c = _col(v)
-    return F.transform(F.array(c), lambda t: F.array(*[finite_number(t, f"$.{n}") for n in names]))[0]
+    return bind(c, lambda t: F.array(*[finite_number(t, f"$.{n}") for n in names]))
 
 
 def first_present_value(fields: Column | str, names: Sequence[str]) -> Column:

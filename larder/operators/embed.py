@@ -20,7 +20,7 @@ Encoder = Callable[[pd.Series], np.ndarray]
 
 def token_hashes(text: Column | str, method: str = "xxhash64") -> Column:
     """Integer hash of each token of the cleaned text."""
-    words = T.tokens(T.clean_text(text, stop=None))
+    words = F.filter(F.split(T.clean_text(text, stop=None), " "), lambda w: w != "")
     if method == "xxhash64":
         return F.transform(words, lambda t: F.xxhash64(t))
     if method == "md5":

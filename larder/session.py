@@ -42,12 +42,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     the large ones.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/staged/{name}-{uuid.uuid4().hex}"
+    path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staging_path(spark: SparkSession, name: str) -> str:
+    """New path for an intermediate table, next to the checkpoints."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/staged/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with too few splits out to all cores; a no-op for a large input.
+
+    Meant for costly row-wise work on a table stored as one small file.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores)
+
+
 def ship_package(spark: SparkSession | None = None) -> None:
     """Send this package to the Python workers, once per application.
 
