@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,7 +118,7 @@ def top_per_query(hits: DataFrame, k: int) -> DataFrame:
 
 def _scan_with_queries(queries: DataFrame, collection: DataFrame, k: int) -> DataFrame:
     """One pass over the collection with the (size-checked) queries sent to every task."""
-    table = queries.toArrow()
+    table = with_vector(queries.toArrow())
     query_ids = table.column("query_id").to_numpy()
     sent = queries.sparkSession.sparkContext.broadcast((query_ids, as_matrix(table.column("vector"))))
     schema = _hit_schema(queries, collection)
@@ -125,7 +126,7 @@ def _scan_with_queries(queries: DataFrame, collection: DataFrame, k: int) -> Dat
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
         top = TopK(matrix, k)
-        for batch in batches:
+        for batch in map(with_vector, batches):
             top.add(batch.column("id").to_numpy(zero_copy_only=False), as_matrix(batch.column("vector")))
         frame = top.frame(ids)
         if len(frame):
@@ -164,6 +165,7 @@ def search_cells(
     schema = _hit_schema(queries, collection)
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
+        q, c = with_vector(q), with_vector(c)
         columns = {"query_id": q.column("query_id"), "id": c.column("id")}
         if not len(q) or not len(c):
             empty = {n: x.slice(0, 0) for n, x in columns.items()}
@@ -179,7 +181,16 @@ def search_cells(
 
 
 def _named(df: DataFrame, id_col: str, vec_col: str, name: str) -> DataFrame:
-    return df.select(F.col(id_col).alias(name), F.col(vec_col).alias("vector")).filter("vector IS NOT NULL")
+    """Id and vector; rows without a vector are dropped inside the tasks.
+
+    A filter here would be pushed below a vector that a Python function makes and compute it twice.
+    """
+    return df.select(F.col(id_col).alias(name), F.col(vec_col).alias("vector"))
+
+
+def with_vector(rows):
+    """Arrow rows whose vector is not null."""
+    return rows.filter(pc.is_valid(rows.column("vector")))
 
 
 def with_payload(hits: DataFrame, collection: DataFrame, id_col: str, payload: Sequence[str]) -> DataFrame:
@@ -211,7 +222,7 @@ def knn(
     ship_package(queries.sparkSession)
     q = _named(queries, query_id, query_vec, "query_id")
     c = _named(collection, id_col, vec_col, "id")
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
+    size = q.agg(F.count("vector").alias("n"), F.max(F.size("vector")).alias("d")).first()
     if size["n"] * (8 * (size["d"] or 0) + 64) <= max_query_bytes:
         hits = _scan_with_queries(q, c, k)
     else:
@@ -256,13 +267,13 @@ def knn_approx(
     ship_package(queries.sparkSession)
     q = _named(queries, query_id, query_vec, "query_id")
     c = _named(collection, id_col, vec_col, "id")
-    first = c.select(F.size("vector").alias("d")).first()
+    first = c.filter("vector IS NOT NULL").select(F.size("vector").alias("d")).first()
     if first is None:
         return knn(queries, collection, k, query_id, query_vec, id_col, vec_col, payload)
 
     def in_cells(df: DataFrame, key: str) -> DataFrame:
         cells = projection_cells("vector", first["d"], tables, bucket_length, seed)
-        return df.select(key, "vector", F.explode(cells).alias("cell"))
+        return df.filter("vector IS NOT NULL").select(key, "vector", F.explode(cells).alias("cell"))
 
     hits = search_cells(in_cells(q, "query_id"), in_cells(c, "id"), k)
     found = hits.groupBy("query_id", "id").agg(F.min("score").alias("score"))

@@ -69,6 +69,12 @@ def test_empty_sides(data):
     assert N.knn_approx(data[0], data[1].limit(0), 3).isEmpty()
 
 
+def test_rows_without_vector(spark, data):
+    none = spark.createDataFrame([("a", None)], VECTORS)
+    for size in (0, 1 << 20):
+        check(N.knn(data[0], data[1].union(none), 5, max_query_bytes=size), data[2], 5)
+
+
 def test_payload(data):
     named = data[1].withColumn("name", F.upper("id"))
     assert all(r["name"] == r["id"].upper() for r in N.knn(data[0], named, 2, payload=("name",)).collect())
