@@ -95,6 +95,23 @@ def quality_counters(screened: DataFrame) -> DataFrame:
     )
 
 
+def image_report(screened: DataFrame, written: DataFrame, limits: Thresholds, size: tuple[int, int]) -> DataFrame:
+    """One row: the counters, recipes seen, images written and skipped, and the settings used."""
+    copied = written.agg(F.count(F.lit(1))).scalar()
+    recipes = screened.agg(F.countDistinct("id")).scalar()
+    return quality_counters(screened).select(
+        "*",
+        recipes.alias("unique_recipe_ids"),
+        F.col("evaluated").alias("total_images_matched"),
+        copied.alias("images_copied"),
+        (F.col("kept") - copied).alias("images_skipped"),
+        F.lit(limits.min_blur).cast("double").alias("blur_threshold"),
+        F.array(F.lit(limits.min_width), F.lit(limits.min_height)).alias("min_wh"),
+        F.array(F.lit(limits.min_aspect), F.lit(limits.max_aspect)).alias("aspect_range"),
+        F.array(*[F.lit(x) for x in size]).alias("target_size"),
+    )
+
+
 def skip_log(screened: DataFrame) -> DataFrame:
     """``key, reason, original_key`` of dropped images with commas turned into spaces."""
 

@@ -77,7 +77,7 @@ def screen_and_box(
     overwrite: bool = True,
     strict: bool = False,
 ) -> dict[str, DataFrame]:
-    """Screened images: ``screened`` rows, ``kept`` rasters, ``counters`` and ``skips``.
+    """Screened images: ``screened`` rows, ``kept`` rasters, ``counters``, ``report`` and ``skips``.
 
     Pixels are decoded once into a columnar staging table; the duplicate test reads only its small
     columns, and the kept rasters are picked from it by key.
@@ -87,10 +87,12 @@ def screen_and_box(
     winners = screened.filter(F.col("reason").isNull()).select("key")
     kept = semi_join(table.select("id", "key", F.col("boxed").alias("image")), winners, "key")
     kept = kept.withColumn("dst_key", K.jpg_key(F.lit(prefix), "key"))
+    fresh = skip_existing(kept, existing, "dst_key", overwrite)
     return {
         "screened": screened,
-        "kept": skip_existing(kept, existing, "dst_key", overwrite),
+        "kept": fresh,
         "counters": Q.quality_counters(screened),
+        "report": Q.image_report(screened, fresh.select("key"), limits, size),
         "skips": Q.skip_log(screened),
     }
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from larder.functions import images as I
 from larder.operators import screening as Q
 from larder.plans.formatted import format_images, screen_and_box
+from larder.plans.trusted import recipe_images, trust_images
 from larder.sources.scan import list_objects, scan_images
 
 G = np.random.default_rng(2)
@@ -129,9 +130,20 @@ def test_existing_targets_are_skipped(spark, files):
     images = scan_images(spark, files)
     kept = screen_and_box(images, limits=LIMITS, size=(16, 16), existing=done, overwrite=False)["kept"]
     assert [r["dst_key"] for r in kept.collect()] == ["images/h__r2_0.jpg"]
+    report = screen_and_box(images, limits=LIMITS, size=(16, 16), existing=done, overwrite=False)["report"].first()
+    assert (report["kept"], report["images_copied"], report["images_skipped"], report["unique_recipe_ids"]) == (2, 1, 1, 2)
     assert screen_and_box(images, limits=LIMITS, size=(16, 16), dedup=False)["kept"].count() == 3
 
 
+def test_trusted_images(spark, files, tmp_path):
+    found = trust_images(scan_images(spark, files), str(tmp_path), limits=LIMITS, size=(16, 16))
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "ids")).collect()) == ["r1", "r2"]
+    log = spark.read.option("header", True).csv(str(tmp_path / "skips"))
+    assert log.columns == ["key", "reason", "original_key"] and log.count() == 5
+    assert spark.read.json(str(tmp_path / "report")).first()["kept"] == 2
+    assert [r["part"] for r in recipe_images(found["screened"]).collect()] == [0, 0]
+
+
 def test_listing(spark, files):
     assert list_objects(spark, files, ("png",)).count() == 6
     assert list_objects(spark, files).filter(F.col("length") > 0).count() == 7
