@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larder.llm import decontaminate, line_dedup, mixing, sharding
+from larder.llm import decontaminate, line_dedup, mixing, ngram_join, sharding
 
-MODULES = (decontaminate, line_dedup, mixing, sharding)
+MODULES = (ngram_join, decontaminate, line_dedup, mixing, sharding)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
