@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larder.llm import decontaminate, line_dedup, mixing, ngram_join, sharding, substring_dedup
+from larder.llm import decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, sharding, substring_dedup
 
-MODULES = (ngram_join, substring_dedup, decontaminate, line_dedup, mixing, sharding)
+MODULES = (ngram_join, substring_dedup, decontaminate, language_id, line_dedup, license_scan, mixing, sharding)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
