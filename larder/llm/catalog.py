@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from larder.llm import decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, sharding, substring_dedup
+from larder.llm import (
+    class_model, decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, quality_rules, sharding, substring_dedup,
+)
 
-MODULES = (ngram_join, substring_dedup, decontaminate, language_id, line_dedup, license_scan, mixing, sharding)
+MODULES = (
+    ngram_join, substring_dedup, decontaminate, class_model, language_id, line_dedup, license_scan, mixing, quality_rules, sharding,
+)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}

@@ -51,11 +51,16 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int)
     return cut.withColumn("key", F.md5(F.array_join("words", " ")))
 
 
+def row_key(key: Column, text: Column) -> Column:
+    """Hash of id and text (null: empty) in 128 bits; equal rows share it."""
+    text = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(key, text).alias("a"), F.xxhash64(F.lit(1), text, key).alias("b"))
+
+
 def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(_row, _id, _text)``; ``_row``, a hash of id and text, names a row, and equal rows share their result."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.struct(F.xxhash64(F.col(id_col), text).alias("a"), F.xxhash64(F.lit(1), text, F.col(id_col)).alias("b"))
-    return docs.select(key.alias("_row"), F.col(id_col).alias("_id"), text.alias("_text"))
+    """``(_row, _id, _text)``; equal rows share their result."""
+    key = row_key(F.col(id_col), F.col(text_col))
+    return docs.select(key.alias("_row"), F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
 def occurrences(rows: DataFrame, tokens: DataFrame, widths: list[int], block: int) -> DataFrame:
