@@ -32,7 +32,7 @@ def _without(docs: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs)
-    return language_id.classify(docs, model, name="_language").filter(~F.col("_language.rejected")).drop("_language")
+    return language_id.classify(docs, model, name="__language").filter(~F.col("__language.rejected")).drop("__language")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +47,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     summary, _ = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    hit = summary.filter("n_hit > 0").select("_row").distinct()
-    keyed = docs.withColumn("_row", decontaminate.row_key(F.col("doc_id"), F.col("text")))
-    return _without(keyed, hit, "_row").select(*docs.columns)
+    hit = summary.filter("n_hit > 0").select(F.col("_row").alias("__row")).distinct()
+    keyed = docs.withColumn("__row", decontaminate.row_key(F.col("doc_id"), F.col("text")))
+    return _without(keyed, hit, "__row").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.emit(mixing.mix(docs))
+    whole = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__doc"))
+    return mixing.emit(mixing.mix(whole)).select("__doc.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

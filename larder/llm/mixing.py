@@ -27,7 +27,7 @@ from larder.llm.common import WORD, count_words, hex_number, table
 from larder.session import staged
 
 OUTPUT = ("size", "source_size", "target", "copies")
-PLAN = "_source string, _s int, source_size bigint, target double, _rate double, _u double"
+PLAN = "__mix_source string, __mix_s int, source_size bigint, target double, __mix_rate double, __mix_u double"
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...], cap: int) -> list[tuple[float, float]]:
@@ -75,41 +75,41 @@ def mix(
     """
     spark = docs.sparkSession
     body = docs.select(*[c for c in docs.columns if c.lower() not in OUTPUT])
-    sized = body.withColumn("size", count_words(body[text_col])).withColumn("_class", size_class(F.col("size")))
+    sized = body.withColumn("size", count_words(body[text_col])).withColumn("__mix_class", size_class(F.col("size")))
     draw = hex_number(F.lit(seed), body[id_col])
-    narrow = sized.select(F.col(source_col).alias("_source"), "size", "_class", draw.alias("_draw"))
-    fine = F.pmod(F.col("_draw"), F.lit(chunks * 1024)).alias("_fine")
-    counted = staged(narrow.groupBy("_source", "_class", fine).agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words")), "mixing-cells")
+    narrow = sized.select(F.col(source_col).alias("__mix_source"), "size", "__mix_class", draw.alias("__mix_draw"))
+    fine = F.pmod(F.col("__mix_draw"), F.lit(chunks * 1024)).alias("__mix_fine")
+    counted = staged(narrow.groupBy("__mix_source", "__mix_class", fine).agg(F.count(F.lit(1)).alias("__mix_n"), F.sum("size").alias("__mix_words")), "mixing-cells")
 
-    sums = counted.groupBy("_source").agg(F.sum("_n").alias("n"), F.sum("_words").alias("words")).collect()
+    sums = counted.groupBy("__mix_source").agg(F.sum("__mix_n").alias("n"), F.sum("__mix_words").alias("words")).collect()
     split = chunks * min(1024, 1 + sum(r["n"] for r in sums) // chunk_rows)
-    sums = sorted(sums, key=lambda r: (r["_source"] is None, r["_source"] or ""))
+    sums = sorted(sums, key=lambda r: (r["__mix_source"] is None, r["__mix_source"] or ""))
     plan = []
-    for i, (row, target) in enumerate(zip(sums, targets([(r["_source"], r["words"]) for r in sums], weights, cap))):
-        name = f"{seed}:{'' if row['_source'] is None else row['_source']}"
+    for i, (row, target) in enumerate(zip(sums, targets([(r["__mix_source"], r["words"]) for r in sums], weights, cap))):
+        name = f"{seed}:{'' if row['__mix_source'] is None else row['__mix_source']}"
         start = int(hashlib.md5(name.encode()).hexdigest()[:8], 16) / 4294967296.0
         rate = min(float(cap), target / row["words"]) if row["words"] else 0.0
-        plan.append((row["_source"], i, row["words"], float(target), rate, start))
+        plan.append((row["__mix_source"], i, row["words"], float(target), rate, start))
     sources = spark.createDataFrame(plan, PLAN)
 
-    chunk = F.pmod(F.col("_fine"), F.lit(split)).alias("_chunk")
-    cells = counted.groupBy("_source", "_class", chunk).agg(F.sum("_n").alias("_n"))
-    classes = counted.groupBy("_source", "_class").agg(F.sum("_n").alias("_n"))
-    earlier = "coalesce(sum(_n) OVER (PARTITION BY {} ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
-    classes = classes.select(F.col("_source").alias("_cs"), F.col("_class").alias("_cc"), F.expr(earlier.format("_source", "_class")).alias("_low"))
-    cells = cells.withColumn("_inner", F.expr(earlier.format("_source, _class", "_chunk")))
-    cells = cells.join(classes, F.col("_source").eqNullSafe(F.col("_cs")) & (F.col("_class") == F.col("_cc")))
-    cells = cells.join(sources.withColumnRenamed("_source", "_ps"), F.col("_source").eqNullSafe(F.col("_ps")))
+    chunk = F.pmod(F.col("__mix_fine"), F.lit(split)).alias("__mix_chunk")
+    cells = counted.groupBy("__mix_source", "__mix_class", chunk).agg(F.sum("__mix_n").alias("__mix_n"))
+    classes = counted.groupBy("__mix_source", "__mix_class").agg(F.sum("__mix_n").alias("__mix_n"))
+    earlier = "coalesce(sum(__mix_n) OVER (PARTITION BY {} ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    classes = classes.select(F.col("__mix_source").alias("__mix_cs"), F.col("__mix_class").alias("__mix_cc"), F.expr(earlier.format("__mix_source", "__mix_class")).alias("__mix_low"))
+    cells = cells.withColumn("__mix_inner", F.expr(earlier.format("__mix_source, __mix_class", "__mix_chunk")))
+    cells = cells.join(classes, F.col("__mix_source").eqNullSafe(F.col("__mix_cs")) & (F.col("__mix_class") == F.col("__mix_cc")))
+    cells = cells.join(sources.withColumnRenamed("__mix_source", "__mix_ps"), F.col("__mix_source").eqNullSafe(F.col("__mix_ps")))
     cells = cells.select(
-        F.col("_s"), F.col("_class").alias("_k"), F.col("_chunk").alias("_c"), (F.col("_low") + F.col("_inner")).alias("_offset")
+        F.col("__mix_s"), F.col("__mix_class").alias("__mix_k"), F.col("__mix_chunk").alias("__mix_c"), (F.col("__mix_low") + F.col("__mix_inner")).alias("__mix_offset")
     )
 
-    keyed = sized.withColumn("_chunk", F.pmod(F.pmod(draw, F.lit(chunks * 1024)), F.lit(split)))
-    keyed = keyed.join(sources, keyed[source_col].eqNullSafe(sources["_source"])).withColumnRenamed("_s", "_own")
-    placed = keyed.join(cells, (F.col("_own") == F.col("_s")) & (F.col("_class") == F.col("_k")) & (F.col("_chunk") == F.col("_c")))
-    within = f"row_number() OVER (PARTITION BY _own, _class, _chunk ORDER BY size, `{id_col}`)"
-    ranked = placed.withColumn("_rank", (F.col("_offset") + F.expr(within)).cast("double"))
-    crossed = F.floor(F.col("_rate") * F.col("_rank") + F.col("_u")) - F.floor(F.col("_rate") * (F.col("_rank") - 1) + F.col("_u"))
+    keyed = sized.withColumn("__mix_chunk", F.pmod(F.pmod(draw, F.lit(chunks * 1024)), F.lit(split)))
+    keyed = keyed.join(sources, keyed[source_col].eqNullSafe(sources["__mix_source"])).withColumnRenamed("__mix_s", "__mix_own")
+    placed = keyed.join(cells, (F.col("__mix_own") == F.col("__mix_s")) & (F.col("__mix_class") == F.col("__mix_k")) & (F.col("__mix_chunk") == F.col("__mix_c")))
+    within = f"row_number() OVER (PARTITION BY __mix_own, __mix_class, __mix_chunk ORDER BY size, `{id_col}`)"
+    ranked = placed.withColumn("__mix_rank", (F.col("__mix_offset") + F.expr(within)).cast("double"))
+    crossed = F.floor(F.col("__mix_rate") * F.col("__mix_rank") + F.col("__mix_u")) - F.floor(F.col("__mix_rate") * (F.col("__mix_rank") - 1) + F.col("__mix_u"))
     copies = F.least(crossed, F.lit(cap)).cast("int").alias("copies")
     return ranked.select(*body.columns, "size", "source_size", "target", copies)
 
@@ -117,8 +117,8 @@ def mix(
 def emit(mixed: DataFrame) -> DataFrame:
     """The mixed corpus: each document as many times as it has copies, without the planning columns."""
     kept = mixed.filter(F.col("copies") > 0)
-    repeated = kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.drop("_copy", *OUTPUT)
+    repeated = kept.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.drop("__mix_copy", *OUTPUT)
 
 
 def op8_mixing(spark, folder):
