@@ -25,7 +25,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Words(dict):
     """Numbers words in order of appearance and keeps a 64-bit hash of each."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most, self._hashes, self._table = most, [], np.empty(0, U)
 

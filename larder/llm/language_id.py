@@ -25,8 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import table
-from larder.session import ship_package
+from larder.llm.common import prepare, table
 
 UNKNOWN = "und"
 # Letters of ASCII in lower case, bytes of other characters as they are, all else blank.
@@ -131,7 +130,7 @@ def fit(
     slack: float = 0.6,
 ) -> Model:
     """Fit on about ``sample`` rows of each language of ``labelled``."""
-    ship_package(labelled.sparkSession)
+    prepare(labelled.sparkSession)
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.lit(5), F.col(id_col)).alias("draw"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
@@ -175,7 +174,7 @@ def _lowest(model: Model):
 
 def classify(docs: DataFrame, model: Model, text_col: str = "text", name: str = "language") -> DataFrame:
     """All columns of ``docs`` plus the struct ``name (lang, score, rejected)``."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, rejected boolean")

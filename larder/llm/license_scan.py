@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.arrays import pieces
-from larder.llm.common import table
-from larder.session import ship_package
+from larder.llm.common import prepare, table
 
 # The phrases of the contract and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -140,7 +139,7 @@ def license_scan(
 ) -> DataFrame:
     """``(id, n_words, base, spans, score)``: phrase places, verified notices in words ``[start, end)``, and the
     share of unchanged characters of the best notice (1 for a phrase)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text"))
     found = rows.mapInArrow(_scan(phrases, notices, per_error), SCHEMA).withColumn("id", F.col("id").cast(kind))

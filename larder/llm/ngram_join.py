@@ -10,11 +10,12 @@ nothing; spare weight makes up for as many of them as are likely, and a set with
 another seed (two linked sets meet at the first seed where either has enough; at the last seed empty segments
 are indexed as well, so nothing is lost).
 
-Keys are only filters: they are dealt to buckets, and what shares a key becomes a group. Members of a
-group are compared with its smallest member, then, where a group still spans several components,
-across components. Comparison intersects the whole sets. Sets equal to each other share all keys
-and are compared with their smallest copy alone. Inside a task, rows of one key go on as one (its smallest
-member), so a key that a third of all documents share stays small in its bucket.
+Keys are only filters: they are dealt to buckets, and documents that share a key are a group. The pairs of
+groups of up to ``SMALL`` documents are candidates; larger groups are compared through their smallest member, then, where
+members are still in different components, across those. Pairs already in one component need no
+comparison. A comparison intersects the whole sets. Documents with equal texts are linked with the smallest of
+them and indexed once. A group that is large inside one task goes on as one row there, so a key that a third
+of all documents share stays small in its bucket.
 
 Defined results: texts without words, and null texts, have the empty set and link with nothing. Rows of one id
 are one document with one set each, linked through the id. A null id has no component. An empty table gives an empty
@@ -34,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.arrays import ODD, U, Words, by_bucket, mixed, pieces, planes, runs, unplaned
-from larder.llm.common import LOWER, UPPER, WORD, table
+from larder.llm.common import LOWER, UPPER, WORD, prepare, table
 from larder.llm.graph import components
-from larder.session import ship_package, staged
+from larder.session import staged
 
 SEEDS = 12
+SMALL = 4  # groups of so many documents are compared pair by pair, larger ones through their smallest member first
+SIZE, MEMBER, PAIR, KEYS = range(4)
 WIDE_HOT, WIDE_RATE = 1000.0, 0.3  # candidates expected from a key of no tokens, and the share left by each token
 DEALT = "kind int, bucket int, id bigint, n bigint, keys binary, ids binary"
 FOUND = "kind int, id bigint, n bigint"
@@ -136,109 +139,124 @@ def shingles(words: Words, text: bytes | None, width: int) -> np.ndarray:
 
 
 def _deal(percent: int, width: int, buckets: int):
+    """Set sizes, members of large groups inside a piece, and the keys for each bucket."""
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, words = Partition(percent), Words()
         for piece in pieces(batches, "text"):
-            ids = piece.column("id").to_pylist()
+            ids, copies = piece.column("id").to_pylist(), piece.column("copy").to_pylist()
             words.renew()
             sets = [shingles(words, t, width) for t in piece.column("text").to_pylist()]
             sizes = np.array([len(s) for s in sets])
-            rows = [(0, (i or 0) % buckets, i, n, None, None) for i, n in zip(ids, sizes.tolist())]
-            use = [k for k, s in enumerate(sets) if len(s) and ids[k] is not None]
+            rows = [(SIZE, (i or 0) % buckets, i, n, None, None) for i, n in zip(ids, sizes.tolist())]
+            use = [k for k, s in enumerate(sets) if len(s) and ids[k] is not None and not copies[k]]
             if use:
                 keys, docs = partition.keys([sets[k] for k in use], sizes[use])
-                who = np.array([ids[k] for k in use], np.int64)[docs]
-                order = np.lexsort((who, keys))
-                keys, who = keys[order], who[order]
-                fresh = np.ones(len(keys), bool)
-                fresh[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
-                keys, who = keys[fresh], who[fresh]
-                edges = runs(keys)
-                firsts, many = edges[:-1], np.repeat(np.diff(edges) > 1, np.diff(edges))
-                keys = keys >> U(16)  # candidates need no more bits
-                group = keys.astype(np.int64)
-                rows += [(1, g % buckets, i, g, None, None) for g, i in zip(group[many].tolist(), who[many].tolist())]
-                keys, who = keys[firsts], who[firsts]
+                keys, who = keys >> U(16), np.array([ids[k] for k in use], np.int64)[docs]  # candidates need no more bits
+                keys, who = _distinct(keys, who)
+                count = np.diff(runs(keys))
+                large = np.repeat(count > SMALL, count)
+                rows += [(MEMBER, g % buckets, i, g, None, None) for g, i in zip(keys[large].astype(np.int64).tolist(), who[large].tolist())]
+                first = np.zeros(len(keys), bool)
+                first[runs(keys)[:-1]] = True
+                send = first | ~large
+                keys, who, large = keys[send], who[send], large[send]
                 order, parts = by_bucket(keys, buckets)
-                keys, who = keys[order], who[order]
-                rows += [(2, b, None, None, planes(keys[x:y] // U(buckets)), planes(who[x:y].view(U))) for b, x, y in parts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["kind", "bucket", "id", "n", "keys", "ids"],
-            )
+                keys, who = keys[order] // U(buckets) << U(1) | large[order].astype(U), who[order].view(U)
+                rows += [(KEYS, b, None, None, planes(keys[x:y]), planes(who[x:y])) for b, x, y in parts]
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            names = ["kind", "bucket", "id", "n", "keys", "ids"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     return deal
 
 
-def _members(buckets: int):
-    """Pass documents and local members on; of each bucket's keys emit those with several documents."""
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct pairs."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _rows(kind: int, ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids), pa.array(n)], names=["kind", "id", "n"])
 
-    def resolve(bucket: int, keys: list[bytes], ids: list[bytes]) -> pa.RecordBatch:
-        k = np.concatenate([unplaned(x) for x in keys]) * U(buckets) + U(bucket)
-        i = np.concatenate([unplaned(x) for x in ids]).view(np.int64)
-        order = np.lexsort((i, k))
-        k, i = k[order], i[order]
-        edges = runs(k)
-        many = np.zeros(len(k), bool)
-        for a, b in zip(edges[:-1][np.diff(edges) > 1], edges[1:][np.diff(edges) > 1]):
-            many[a:b] = i[a] != i[b - 1]
-        k, i = k[many].astype(np.int64), i[many]
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(k), np.int32)), pa.array(i), pa.array(k)], names=["kind", "id", "n"])
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _groups(buckets: int):
+    """Of each bucket: the pairs of small groups, the members of large ones; other rows pass."""
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, ids = None, [], []
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def resolve() -> Iterator[pa.RecordBatch]:
+            k, i = np.concatenate([unplaned(x) for x in keys]), np.concatenate([unplaned(x) for x in ids]).view(np.int64)
+            order = np.lexsort((i, k >> U(1)))
+            k, i = k[order], i[order]
+            flag, k = (k & U(1)).astype(bool), (k >> U(1)) * U(buckets) + U(now)
+            edges = runs(k)
+            count = np.diff(edges)
+            large = (count > SMALL) | np.logical_or.reduceat(flag, edges[:-1])
+            wide = np.repeat(large, count)
+            if wide.any():
+                yield _rows(MEMBER, i[wide], k[wide].astype(np.int64))
+            k, i = k[~wide], i[~wide]
+            for gap in range(1, SMALL):
+                same = (k[gap:] == k[:-gap]) & (i[gap:] != i[:-gap])
+                pairs.append((i[:-gap][same], i[gap:][same]))
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            a, b = _distinct(*(np.concatenate(x) for x in zip(*pairs)))
+            pairs.clear()
+            yield _rows(PAIR, a, b)
+
         for batch in batches:
-            plain = batch.filter(pc.less(batch.column("kind"), 2))
+            plain = batch.filter(pc.less(batch.column("kind"), KEYS))
             if plain.num_rows:
                 yield plain.select(["kind", "id", "n"])
-            blobs = batch.filter(pc.equal(batch.column("kind"), 2))
+            blobs = batch.filter(pc.equal(batch.column("kind"), KEYS))
             for b, k, i in zip(*(blobs.column(c).to_pylist() for c in ("bucket", "keys", "ids"))):
                 if b != now and keys:
-                    yield resolve(now, keys, ids)
+                    yield from resolve()
                     keys, ids = [], []
+                    if sum(len(x) for x, _ in pairs) > 1_000_000:
+                        yield from flush()
                 now = b
                 keys.append(k)
                 ids.append(i)
         if keys:
-            yield resolve(now, keys, ids)
-
-    return members
+            yield from resolve()
+        if pairs:
+            yield from flush()
 
+    return groups
 
-def _sets(width: int):
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for piece in pieces(batches, "text"):
-            words.renew()
-            made = [shingles(words, t, width).tobytes() for t in piece.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(made, pa.binary())], names=["id", "tokens"])
-
-    return sets
 
+def _linked(percent: int, width: int):
+    """Pairs whose sets meet the threshold; the set of a text is kept while it repeats."""
 
-def _linked(percent: int):
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, last, x = Words(), None, None
         for batch in batches:
+            words.renew()
             stay = np.zeros(batch.num_rows, bool)
-            last, x = None, None
-            for k, (a, b) in enumerate(zip(batch.column("ta"), batch.column("tb"))):
-                if last is None or not a.equals(last):
-                    last, x = a, np.frombuffer(a.as_py(), "<u8")
-                y = np.frombuffer(b.as_py(), "<u8")
+            for k, (a, ta, tb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "ta", "tb")))):
+                if x is None or last != (a, ta):
+                    last, x = (a, ta), shingles(words, ta, width)
+                y = shingles(words, tb, width)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
-                stay[k] = 100 * common >= percent * (len(x) + len(y) - common)
+                stay[k] = len(x) and 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(stay))
 
     return linked
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-    return rows.mapInArrow(_linked(percent), "a bigint, b bigint").distinct()
+def _sent(keys: DataFrame, most: int) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= most else keys
 
 
 def similarity_groups(
@@ -247,40 +265,69 @@ def similarity_groups(
     text_col: str = "text",
     width: int = 5,
     percent: int = 80,
-    broadcast_ids: int = 4_000_000,
+    broadcast_ids: int = 2_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, links)``: ``rows (id, n_shingles, component_id)`` of all documents, ``links (a, b)`` as verified.
 
     ``links`` holds links enough to connect every component, not each pair of a large group. Up to
-    ``broadcast_ids`` ids (8 bytes each) are sent to the scan that fetches candidates' texts; more are joined.
+    ``broadcast_ids`` ids (of copies, of candidates) are sent to the scan of the texts; more are joined with it.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(512, 4 * deals)
-    plain = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    dealt = plain.mapInArrow(_deal(percent, width, buckets), DEALT).repartition(deals, "bucket").sortWithinPartitions("kind", "bucket")
-    found = staged(dealt.mapInArrow(_members(buckets), FOUND), "set-keys")
-    sizes = found.filter("kind = 0").select("id", F.col("n").alias("n_shingles"))
-    members = found.filter("kind = 1").select(F.col("n").alias("g"), "id").distinct()
-
-    hubs = members.groupBy("g").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z").select("g", "a")
-    pairs = staged(members.join(hubs, "g").filter("a <> id").select("a", F.col("id").alias("b")).distinct(), "set-pairs")
-    ids = pairs.select("b").union(pairs.select("a")).distinct().withColumnRenamed("b", "cid")
-    if ids.count() <= broadcast_ids:
-        ids = F.broadcast(ids)
-    sets = staged(plain.join(ids, F.col("id") == F.col("cid"), "left_semi").mapInArrow(_sets(width), "id bigint, tokens binary"), "token-sets")
-    links = staged(_verified(pairs, sets, percent), "set-links")
+    plain = docs.select(
+        F.col(id_col).cast("bigint").alias("id"), F.pmod(F.xxhash64(text_col), F.lit(1 << 16)).cast("int").alias("tag"),
+        F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(text_col).rlike(WORD), F.lit(False)).alias("worded"),
+    )
+    names = plain.filter("worded AND id IS NOT NULL").select("id", "tag", F.unhex(F.md5("text")).alias("m"))
+    firsts = names.groupBy("m").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("m", "first")
+    copies = staged(names.join(firsts, "m").filter("id > first").select("id", "tag", "first").distinct(), "equal-texts")
+    marks = _sent(copies.select("id", "tag", F.lit(True).alias("copy")).distinct(), broadcast_ids)
+    read = plain.join(marks, ["id", "tag"], "left").select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
+    dealt = read.mapInArrow(_deal(percent, width, buckets), DEALT).repartition(deals, "bucket").sortWithinPartitions("kind", "bucket")
+    found = staged(dealt.mapInArrow(_groups(buckets), FOUND), "set-keys")
+    sizes = found.filter(f"kind = {SIZE}").select("id", F.col("n").alias("n_shingles"))
+    members = found.filter(f"kind = {MEMBER}").select(F.col("n").alias("g"), "id").distinct()
+
+    hubs = members.groupBy("g").agg(F.min("id").alias("a"))
+    stars = members.join(hubs, "g").filter("a <> id").select("a", F.col("id").alias("b"))
+    small = found.filter(f"kind = {PAIR}").select(F.col("id").alias("a"), F.col("n").alias("b"))
+    pairs = staged(small.union(stars).distinct(), "set-pairs")
+    ids = pairs.select("a").union(pairs.select("b")).union(members.select("id")).distinct().withColumnRenamed("a", "cid")
+    texts = plain.filter("worded").join(_sent(staged(ids, "candidates"), broadcast_ids), F.col("id") == F.col("cid"), "left_semi")
+    texts = staged(texts.select("id", "text").distinct(), "candidate-texts")
+
+    def verified(some: DataFrame) -> DataFrame:
+        right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+        left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+        hubs = some.select("a").distinct()
+        left = left.join(hubs, "a", "left_semi")
+        rows = some.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+        return staged(rows.mapInArrow(_linked(percent, width), "a bigint, b bigint").distinct(), "set-links")
+
+    def apart(some: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs whose ends are in different components so far."""
+        la, lb = labels.toDF("ia", "ca"), labels.toDF("ib", "cb")
+        rows = some.join(la, F.col("a") == F.col("ia"), "left").join(lb, F.col("b") == F.col("ib"), "left")
+        return rows.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+    # The smallest partner of each document connects most groups; then what is still apart is compared.
+    nearest = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    equal = copies.select(F.col("first").alias("a"), F.col("id").alias("b"))
+    links = equal.union(verified(nearest))
     labels = components(links)
-
+    rest = staged(apart(pairs.join(nearest, ["a", "b"], "left_anti"), labels), "further-pairs")
+    if rest.limit(1).count():
+        links = links.union(verified(rest))
+        labels = components(links)
     named = members.join(labels, "id", "left").select("g", "id", F.coalesce("component", "id").alias("c"))
     split = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("g")
     open_ = staged(named.join(split, "g"), "open-groups")
-    left, right = open_.withColumnsRenamed({"id": "a", "c": "ca"}), open_.withColumnsRenamed({"id": "b", "c": "cb"})
-    across = left.join(right, "g").filter("a < b AND ca <> cb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = staged(_verified(across, sets, percent), "set-links")
-    if more.limit(1).count():
-        links = links.union(more)
+    if open_.limit(1).count():
+        left, right = open_.withColumnsRenamed({"id": "a", "c": "ca"}), open_.withColumnsRenamed({"id": "b", "c": "cb"})
+        across = left.join(right, "g").filter("a < b AND ca <> cb").select("a", "b").distinct()
+        links = links.union(verified(staged(across.join(pairs, ["a", "b"], "left_anti"), "pairs-across")))
         labels = components(links)
     rows = sizes.join(labels.withColumnRenamed("id", "lid"), F.col("id") == F.col("lid"), "left")
     return rows.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")), links

@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.arrays import Words, pieces
-from larder.llm.common import WORD, table
-from larder.session import ship_package, staged
+from larder.llm.common import WORD, prepare, table
+from larder.session import staged
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -84,7 +84,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``(id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)`` of every row."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     kinds = dict(docs.dtypes)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("binary").alias("text"))
     schema = f"id {kinds[id_col]}, lang {kinds[lang_col]}, source {kinds[source_col]}, " + ", ".join(f"{c} bigint" for c in COUNTS)

@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.arrays import U, Words, by_bucket, mixed, pieces, planes, runs, unplaned
-from larder.llm.common import WORD, table
-from larder.session import ship_package, staged
+from larder.llm.common import WORD, prepare, table
+from larder.session import staged
 
 NULL_ID = -(1 << 63)
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -246,7 +246,7 @@ def substring_dedup(
 ) -> DataFrame:
     """``(id, n_words, n_removed, text, removed)``: the kept words, and the removed word intervals ``[start, end)``."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(512, 4 * deals)
     run = min(run, window)
