@@ -12,7 +12,7 @@ hashes are dealt to buckets in turn, together with a second hash under another b
 each are removed. Rows of one anchor or window hash go on as one from each task, so frequent passages stay
 small. Windows are judged on the input, not on what is left.
 
-The tables that go back to the documents are joined with a broadcast while they take less than
+What goes back to a document are spans, not places, so a passage is two numbers. These tables are joined with a broadcast while they take less than
 ``broadcast_bytes``, and with a shuffle of the texts beyond that.
 
 Defined results: a null or empty text has no words. A null id comes before all others. Equal rows (id and text)
@@ -133,9 +133,9 @@ def _deal(window: int, run: int, buckets: int, anchored: bool):
             anchors = view.anchors()
             if anchored:
                 marked = np.zeros(len(view.hashes), bool)
-                for k, lists in enumerate(piece.column("marks").to_pylist()):
-                    for x in lists or ():
-                        marked[view.first[k] + np.frombuffer(x, "<i4")] = True
+                for k, packed in enumerate(piece.column("spans").to_pylist()):
+                    for a, b in _unpacked(packed).tolist():
+                        marked[view.first[k] + a : view.first[k] + b + 1] = True
                 at = view.starts[marked[anchors]]
                 keys, more = view.rolling[0](view.hashes, window)[at], view.rolling[1](view.hashes, window)[at]
             else:
@@ -204,22 +204,40 @@ def _resolve(anchored: bool):
     return resolve
 
 
+def _spans(gap: int):
+    """One list of spans ``start, end`` (inclusive) per document from its lists of places at most ``gap`` apart."""
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for lists in batch.column("marks").to_pylist():
+                at = np.unique(np.concatenate([np.frombuffer(x, "<i4") for x in lists]))
+                cut = np.flatnonzero(np.diff(at) > gap)
+                made.append(np.stack([at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)]], axis=1).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), pa.array(made, pa.binary())], names=["id", "tag", "spans"])
+
+    return spans
+
+
+def _unpacked(spans: bytes | None) -> np.ndarray:
+    return np.frombuffer(spans or b"", "<i4").reshape(-1, 2)
+
+
 def _cut(window: int):
     """Texts without the words of repeated windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             n, removed, kept, spans = [], [], [], []
-            columns = (piece.column(c).to_pylist() for c in ("text", "copy", "marks"))
-            for text, copy, marks in zip(*columns):
+            columns = (piece.column(c).to_pylist() for c in ("text", "copy", "spans"))
+            for text, copy, packed in zip(*columns):
                 words = (text or b"").split()
                 out = np.zeros(len(words) + 1, np.int64)
                 if copy and len(words) >= window:
                     out[0], out[-1] = 1, -1
-                for x in marks or ():
-                    at = np.frombuffer(x, "<i4")
-                    np.add.at(out, at, 1)
-                    np.add.at(out, at + window, -1)
+                at = _unpacked(packed)
+                np.add.at(out, at[:, 0], 1)
+                np.add.at(out, at[:, 1] + window, -1)
                 gone = np.cumsum(out)[:-1] > 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 n.append(len(words))
@@ -265,15 +283,16 @@ def substring_dedup(
         dealt = frame.mapInArrow(_deal(window, run, buckets, anchored), DEALT)
         dealt = dealt.repartition(deals, "bucket").sortWithinPartitions("kind", "bucket")
         found = dealt.mapInArrow(_resolve(anchored), PLACES)
-        found = staged(found.groupBy("id", "tag").agg(F.collect_list("at").alias("marks")), name)
-        size = F.aggregate("marks", F.lit(0), lambda n, x: n + F.octet_length(x) + 16)
-        return _sent(found, size, broadcast_bytes)
+        lists = found.groupBy("id", "tag").agg(F.collect_list("at").alias("marks"))
+        # Anchors of neighbouring windows lie no farther apart than this; what lies between is checked as well.
+        spans = lists.mapInArrow(_spans(1 if anchored else window - run + 1), "id bigint, tag int, spans binary")
+        return _sent(staged(spans, name), F.octet_length("spans"), broadcast_bytes)
 
     anchors = places(base, False, "repeated-anchors")
-    gone = places(base.join(anchors, ["id", "tag"]).select("id", "tag", "text", "marks"), True, "repeated-windows")
+    gone = places(base.join(anchors, ["id", "tag"]).select("id", "tag", "text", "spans"), True, "repeated-windows")
     marked = rows.join(gone, ["id", "tag"], "left").join(copies.withColumn("copy", F.lit(True)), ["id", "tag"], "left")
     out = "id bigint, n_words bigint, n_removed bigint, text string, removed array<struct<start:bigint,end:bigint>>"
-    kept = marked.select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "marks").mapInArrow(_cut(window), out)
+    kept = marked.select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "spans").mapInArrow(_cut(window), out)
     return kept.withColumn("id", F.nullif(F.col("id"), F.lit(NULL_ID)))
 
 
