@@ -25,7 +25,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Words(dict):
     """Numbers words in order of appearance and keeps a 64-bit hash of each."""
 
-    def __init__(self, most: int = 150_000):
+    def __init__(self, most: int = 80_000):
         super().__init__()
         self.most, self._hashes, self._table = most, [], np.empty(0, U)
 
@@ -50,7 +50,7 @@ class Words(dict):
         return self._table[numbers]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = 768 << 10) -> Iterator[pa.RecordBatch]:
     """The rows in pieces of about ``size`` bytes of text; one longer text is a piece of its own."""
     for batch in batches:
         if not batch.num_rows:

@@ -275,7 +275,7 @@ def similarity_groups(
     spark = docs.sparkSession
     prepare(spark)
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(512, 4 * deals)
+    buckets = max(256, 4 * deals)
     plain = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.pmod(F.xxhash64(text_col), F.lit(1 << 16)).cast("int").alias("tag"),
         F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(text_col).rlike(WORD), F.lit(False)).alias("worded"),

@@ -266,7 +266,7 @@ def substring_dedup(
     spark = docs.sparkSession
     prepare(spark)
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(512, 4 * deals)
+    buckets = max(256, 4 * deals)
     run = min(run, window)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
