@@ -22,12 +22,10 @@ def quoted(value: str) -> str:
 
 
 def sql_ascii(expr: str) -> str:
-    pairs = {**T.fold_map(), **T.EXPANSIONS}
-    singles = {c: r for c, r in pairs.items() if len(r) == 1}
+    singles, longer = T.replacements()
     out = f"translate({expr}, {quoted(''.join(singles))}, {quoted(''.join(singles.values()))})"
-    for char, repl in pairs.items():
-        if len(repl) != 1:
-            out = f"replace({out}, {quoted(char)}, {quoted(repl)})"
+    for char, repl in longer.items():
+        out = f"replace({out}, {quoted(char)}, {quoted(repl)})"
     return out
 
 
@@ -38,7 +36,7 @@ def sql_collapse(expr: str) -> str:
 def sql_clean(expr: str, punctuation: bool = True) -> str:
     folded = sql_ascii(f"lower(coalesce({expr}, ''))")
     if punctuation:
-        folded = rf"regexp_replace({folded}, '[^\w\s]', ' ', 'g')"
+        folded = rf"regexp_replace({folded}, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')"
     return sql_collapse(folded)
 
 

@@ -108,14 +108,21 @@ def resample_weights(size: int, target: int, kind: str) -> np.ndarray:
 
 
 def resample(pixels: np.ndarray, width: int, height: int, kind: str) -> np.ndarray:
-    """Separable resampling, columns first, each pass rounded to 8 bits."""
-    out = pixels.astype(np.int64)
+    """Separable resampling, columns first, each pass rounded to 8 bits.
+
+    Weights and pixels are integers whose sums stay far below 2**53, so matrix products in double
+    precision are exact.
+    """
+    out = pixels.astype(np.float64)
     if width != out.shape[1]:
-        out = np.einsum("tw,hwc->htc", resample_weights(out.shape[1], width, kind), out, optimize=True)
-        out = np.clip((out + (1 << 21)) >> 22, 0, 255)
+        weights = resample_weights(out.shape[1], width, kind).astype(np.float64)
+        out = np.ascontiguousarray(np.moveaxis(out, 2, 1)) @ weights.T
+        out = np.moveaxis(np.clip(np.floor((out + (1 << 21)) / (1 << 22)), 0, 255), 1, 2)
     if height != out.shape[0]:
-        out = np.einsum("th,hwc->twc", resample_weights(out.shape[0], height, kind), out, optimize=True)
-        out = np.clip((out + (1 << 21)) >> 22, 0, 255)
+        weights = resample_weights(out.shape[0], height, kind).astype(np.float64)
+        flat = np.ascontiguousarray(out).reshape(out.shape[0], -1)
+        rows = np.clip(np.floor((weights @ flat + (1 << 21)) / (1 << 22)), 0, 255)
+        out = rows.reshape(height, *out.shape[1:])
     return out.astype(np.uint8)
 
 

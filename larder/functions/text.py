@@ -42,18 +42,53 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Latin spelling of Greek and Cyrillic letters.
+GREEK = dict(zip("αβγδεζηθικλμνξοπρςστυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split()))
+CYRILLIC = dict(
+    zip(
+        "абвгдежзийклмнопрстуфхцчшщыэюяіїєґ",
+        "a b v g d e zh z i i k l m n o p r s t u f kh ts ch sh shch y e iu ia i i e g".split(),
+    )
+) | {"ъ": "", "ь": "", "ё": "e"}
+COMBINING = "".join(map(chr, range(0x0300, 0x0370)))
+
+
 @lru_cache(maxsize=1)
 def fold_map() -> dict[str, str]:
-    """Accented Latin letter -> base letter, from Unicode compatibility decomposition."""
-    folded = {}
-    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
+    """Letter, ligature or fraction -> Latin spelling, from Unicode decompositions and the two alphabets.
+
+    A combining mark maps to nothing, so a decomposed accent is dropped like a composed one.
+    """
+    folded = dict.fromkeys(COMBINING, "")
+    for letter, base in {**GREEK, **CYRILLIC}.items():
+        folded[letter] = base
+        if letter.upper() != letter and len(letter.upper()) == 1:
+            folded[letter.upper()] = base.capitalize()
+    accented = (*range(0x00C0, 0x0250), *range(0x0386, 0x03CF), *range(0x0400, 0x0460), *range(0x1E00, 0x2000))
+    for code in accented:
         letter = chr(code)
         base = "".join(x for x in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(x))
-        if base != letter and len(base) == 1 and base.isascii() and base.isalpha():
-            folded[letter] = base
+        if base == letter or len(base) != 1:
+            continue
+        if base.isascii() and base.isalpha():
+            folded.setdefault(letter, base)
+        elif base in folded:
+            folded.setdefault(letter, folded[base])
+    for code in (*range(0xFB00, 0xFB07), *range(0x2153, 0x215F)):
+        spelled = unicodedata.normalize("NFKD", chr(code)).replace("\u2044", "/")
+        folded[chr(code)] = f" {spelled} " if "/" in spelled else spelled
     return folded
 
 
+def replacements(extra: dict[str, str] | None = None) -> tuple[dict[str, str], dict[str, str]]:
+    """Characters replaced by at most one character, and those replaced by more."""
+    singles, longer = {}, {}
+    for char, repl in {**fold_map(), **EXPANSIONS, **(extra or {})}.items():
+        (singles if len(repl) <= 1 else longer)[char] = repl
+    # What is deleted comes last: translation has nothing to put in its place.
+    return dict(sorted(singles.items(), key=lambda x: not x[1])), longer
+
+
 @lru_cache(maxsize=16)
 def stopwords(language: str = "english") -> tuple[str, ...]:
     """Stop words of a language; languages other than English come with Spark ML."""
@@ -68,10 +103,15 @@ def to_ascii(text: Column | str, extra: dict[str, str] | None = None) -> Column:
     """Transliterate Latin letters and common symbols; other scripts pass through.
 
     ``extra`` adds or overrides single-character replacements. Texts that are ASCII already, the
-    usual case, are recognised by one comparison of byte and character counts and left alone.
+    usual case, are recognised by one comparison of byte and character counts and left alone, unless
+    ``extra`` replaces ASCII characters.
     """
     c = _col(text)
-    return F.when(is_ascii(c), c).otherwise(_folded(c, extra))
+    return _folded(c, extra) if _replaces_ascii(extra) else F.when(is_ascii(c), c).otherwise(_folded(c, extra))
+
+
+def _replaces_ascii(extra: dict[str, str] | None) -> bool:
+    return any(c.isascii() for c in extra or ())
 
 
 def is_ascii(text: Column) -> Column:
@@ -79,15 +119,13 @@ def is_ascii(text: Column) -> Column:
 
 
 def _folded(c: Column, extra: dict[str, str] | None) -> Column:
-    singles, longer = {}, {}
-    for char, repl in {**fold_map(), **EXPANSIONS, **(extra or {})}.items():
-        (singles if len(repl) == 1 else longer)[char] = repl
+    singles, longer = replacements(extra)
 
     def expand(t: Column) -> Column:
         out = t
         for char, repl in longer.items():
             out = F.replace(out, F.lit(char), F.lit(repl))
-        return F.when(is_ascii(t), t).otherwise(out)
+        return out if _replaces_ascii(extra) else F.when(is_ascii(t), t).otherwise(out)
 
     return bind(F.translate(c, "".join(singles), "".join(singles.values())), expand)
 
@@ -114,8 +152,9 @@ def clean_text(
 ) -> Column:
     """Lower-case, transliterate, blank punctuation, collapse spaces, drop stop words; null -> ''."""
     raw = F.coalesce(_col(text), F.lit(""))
-    t = F.when(is_ascii(raw), F.lower(raw)).otherwise(_folded(F.lower(raw), extra))
-    t = F.trim(F.regexp_replace(t, r"\W+", " ")) if punctuation else collapse_spaces(t)
+    lower = F.lower(raw)
+    t = _folded(lower, extra) if _replaces_ascii(extra) else F.when(is_ascii(raw), lower).otherwise(_folded(lower, extra))
+    t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}_]+", " ")) if punctuation else collapse_spaces(t)
     return remove_words(t, stop) if stop else t
 
 

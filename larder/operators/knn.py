@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from larder.session import ship_package, staged
 
 QUERY_BLOCK = 512
+STATE = 4_000_000  # candidate pairs a task keeps before it merges them
+OUT_ROWS = 50_000
 
 
 def as_matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -79,7 +81,7 @@ class TopK:
             scores.append(exact)
         self.ids.append(np.concatenate(found))
         self.scores.append(np.concatenate(scores))
-        if len(self.ids) >= 32:
+        if sum(x.size for x in self.ids) > STATE:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -103,6 +105,20 @@ class TopK:
             }
         )
 
+    def batches(self, query_ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The rows of ``frame`` in batches of bounded size."""
+        if not self.ids or not len(query_ids):
+            return
+        ids, scores = self.merge()
+        step = max(1, OUT_ROWS // max(ids.shape[1], 1))
+        for a in range(0, len(query_ids), step):
+            part = {
+                "query_id": np.repeat(query_ids[a : a + step], ids.shape[1]),
+                "id": ids[a : a + step].ravel(),
+                "score": scores[a : a + step].ravel(),
+            }
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(part), preserve_index=False)
+
 
 def _hit_schema(queries: DataFrame, collection: DataFrame) -> str:
     kinds = dict(queries.dtypes)["query_id"], dict(collection.dtypes)["id"]
@@ -128,9 +144,7 @@ def _scan_with_queries(queries: DataFrame, collection: DataFrame, k: int) -> Dat
         top = TopK(matrix, k)
         for batch in map(with_vector, batches):
             top.add(batch.column("id").to_numpy(zero_copy_only=False), as_matrix(batch.column("vector")))
-        frame = top.frame(ids)
-        if len(frame):
-            yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+        yield from top.batches(ids)
 
     return collection.mapInArrow(search, schema)
 
@@ -162,7 +176,24 @@ def search_cells(
 
     left = spread(queries, "query_id", "block", "blocks", "slice", "slices")
     right = spread(collection, "id", "slice", "slices", "block", "blocks")
-    schema = _hit_schema(queries, collection)
+    return _meet(left, right, ("cell", "block", "slice"), k)
+
+
+def search_blocks(queries: DataFrame, collection: DataFrame, k: int, blocks: int, slices: int) -> DataFrame:
+    """Best ``k`` rows per query and slice: each of ``blocks`` query blocks meets each of ``slices`` slices."""
+
+    def spread(df: DataFrame, key: str, own: str, parts: int, other: str, others: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias(own)
+        return df.select(key, "vector", part, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+
+    left = spread(queries, "query_id", "block", blocks, "slice", slices)
+    right = spread(collection, "id", "slice", slices, "block", blocks)
+    return _meet(left, right, ("block", "slice"), k)
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Search of the collection rows by the query rows that share the keys."""
+    schema = _hit_schema(left, right)
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
         q, c = with_vector(q), with_vector(c)
@@ -176,7 +207,6 @@ def search_cells(
             top.add(ids[start : start + 20_000], vectors[start : start + 20_000])
         return pa.Table.from_pandas(top.frame(q.column("query_id").to_numpy()), preserve_index=False)
 
-    keys = ("cell", "block", "slice")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
 
 
@@ -212,22 +242,25 @@ def knn(
     vec_col: str = "embedding",
     payload: Sequence[str] = (),
     max_query_bytes: int = 64 << 20,
+    block_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Exact nearest neighbours: ``query_id, rank, id, score`` plus payload columns.
 
     The size of the queries is measured. Up to ``max_query_bytes`` they go to every task and the
-    collection is read once without a shuffle; beyond that both sides are cut into blocks that meet in
-    cogrouped tasks.
+    collection is read once without a shuffle; beyond that both sides are cut into blocks of about
+    ``block_bytes`` that meet in cogrouped tasks. The size counts the ``k`` hits a task keeps per query.
     """
     ship_package(queries.sparkSession)
     q = _named(queries, query_id, query_vec, "query_id")
     c = _named(collection, id_col, vec_col, "id")
     size = q.agg(F.count("vector").alias("n"), F.max(F.size("vector")).alias("d")).first()
-    if size["n"] * (8 * (size["d"] or 0) + 64) <= max_query_bytes:
+    width = 8 * (size["d"] or 0) + 64
+    if size["n"] * (width + 32 * k) <= max_query_bytes:
         hits = _scan_with_queries(q, c, k)
     else:
-        cell = F.lit(0).alias("cell")
-        hits = search_cells(q.select(cell, "*"), c.select(cell, "*"), k)
+        blocks = max(1, math.ceil(size["n"] * (width + 32 * k) / block_bytes))
+        slices = max(1, math.ceil(collection.count() * width / block_bytes))
+        hits = search_blocks(q, c, k, blocks, slices)
     return with_payload(top_per_query(hits, k), collection, id_col, payload)
 
 

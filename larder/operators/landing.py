@@ -108,13 +108,23 @@ def image_manifest(recipes: DataFrame, prefix: str) -> DataFrame:
 
 
 def ingest_cap(
-    recipes: DataFrame, order: str, ok: str = "ok", max_recipes: int = 1000, max_images: int = 50
+    recipes: DataFrame, order: str, ok: str = "ok", max_recipes: int | None = 1000, max_images: int | None = 50
 ) -> DataFrame:
     """Leading recipes up to and including the one that reaches a cap.
 
-    The cap is the operator's purpose: the window runs over at most ``max_recipes`` rows.
+    The cap is the operator's purpose; None lifts one. An image cap without a recipe cap lets no recipe
+    behind the first ``max_images`` with images through, so the window runs over no more than those.
     """
-    head = recipes.orderBy(order).limit(max_recipes)
+    head = recipes
+    if max_recipes is not None:
+        head = recipes.orderBy(order).limit(max_recipes)
+    if max_images is None:
+        return head
+    if max_recipes is None:
+        last = recipes.filter(F.col(ok) > 0).orderBy(order).limit(max(max_images, 1)).agg(F.max(order)).first()[0]
+        head = recipes if last is None else recipes.filter(F.col(order) <= last)
+        if last is None:
+            return head if max_images > 0 else head.limit(0)
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     counted = head.withColumn("_before", F.coalesce(F.sum(ok).over(before), F.lit(0)))
     return counted.filter(F.col("_before") < max_images).drop("_before")

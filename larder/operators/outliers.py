@@ -121,7 +121,8 @@ def quantiles(
         for p in probabilities:
             q = p * (counts[c] - 1)
             low, high = values[c, math.floor(q)], values[c, math.ceil(q)]
-            out[c].append(low + (high - low) * (q - math.floor(q)))
+            below, above = math.ceil(q) - q, q - math.floor(q)
+            out[c].append(low if low == high else below * low + above * high)
     return out
 
 
@@ -144,7 +145,7 @@ def iqr_bounds(
 ) -> DataFrame:
     """One row with ``<c>_q1, <c>_q3, <c>_lo, <c>_hi`` per column, null for a column without values.
 
-    Quartiles interpolate linearly. ``"percentile"`` is one aggregate whose buffer holds the distinct
+    Quartiles interpolate linearly, by one formula in all exact methods. ``"percentile"`` is one aggregate whose buffer holds the distinct
     values; ``"select"`` narrows value ranges in several passes and needs little memory; ``"approx"``
     is the sketch; ``"auto"`` takes the first while the columns have few distinct values, else the second.
     """

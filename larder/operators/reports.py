@@ -20,11 +20,13 @@ def document_report(
 ) -> DataFrame:
     """One row on a document stage.
 
-    ``flags`` has one narrow row per record read (``malformed, has_image, outlier, totals_dropped``),
-    ``kept`` the records that stayed with their texts. A record is kept when it is well formed, has an
-    image and is no outlier; the count after the id test is taken behind the outlier filter.
+    ``flags`` has one narrow row per record read (``malformed, has_image, missing_nutrition, outlier,
+    totals_dropped``), ``kept`` the records that stayed with their texts. A record is kept when it is well
+    formed, has an image, lacks no required nutrition data and is no outlier; the count after the id test is
+    taken behind the outlier filter. A record that lacks nutrition data is not counted as an outlier.
     """
-    candidate = ~F.col("malformed") & F.col("has_image")
+    imaged = ~F.col("malformed") & F.col("has_image")
+    candidate = imaged & ~F.col("missing_nutrition")
     stays = F.coalesce(candidate & ~F.col("outlier"), F.lit(False))
     total, written = F.count(F.lit(1)), F.count_if(stays)
     means = token_means(kept, token_columns).select(
@@ -35,7 +37,7 @@ def document_report(
         F.count_if("malformed").alias("malformed_doc_count"),
         written.alias("kept_after_id"),
         written.alias("written_doc_count"),
-        F.lit(0).cast("bigint").alias("dropped_missing_nutrition"),
+        F.count_if(imaged & F.col("missing_nutrition")).alias("dropped_missing_nutrition"),
         F.count_if(candidate & F.col("outlier")).alias("dropped_outliers"),
         F.count_if(stays & F.col("totals_dropped")).alias("nutrition_totals_dropped"),
         percent(written, total).alias("filtering_rate"),

@@ -72,10 +72,11 @@ def exploit_documents(
     entries = document_entries(trusted)
     embedded = embed(entries, "document", encoder)
     if documents is not None:
-        sinks.write_collection(embedded, documents)
-    if multimodal is not None:
-        shared = embedded if shared_encoder is encoder else embed(entries, "document", shared_encoder)
-        sinks.write_collection(shared, multimodal)
+        embedded = sinks.write_collection(embedded, documents, "text")
+    if multimodal is not None and shared_encoder is not encoder:
+        sinks.write_collection(embed(entries, "document", shared_encoder), multimodal, "text")
+    elif multimodal is not None:
+        embedded = sinks.write_collection(embedded, multimodal, "text")
     return embedded
 
 
@@ -117,7 +118,7 @@ def exploit_images(
     embedded = (pixel_embed(entries) if encoder is None else encoder(entries)).drop("image")
     for path in (collection, multimodal):
         if path is not None:
-            sinks.write_collection(embedded, path)
+            embedded = sinks.write_collection(embedded, path, "image")
     return embedded
 
 

@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 from larder.functions.keys import utc_timestamp
 from larder.operators import landing as L
-from larder.sources.scan import decoded_path
 
 
 def land_manifest(
     files: DataFrame,
     prefix: str,
     recipes: DataFrame | None = None,
-    max_recipes: int | None = 1000,
-    max_images: int | None = 50,
+    max_recipes: int | None = None,
+    max_images: int | None = None,
     order: str = "pos",
 ) -> dict[str, DataFrame]:
     """Objects to land from a file listing (``path``) and images to land from recipe image lists.
 
     ``recipes`` has ``id, images ARRAY<STRUCT<url>>`` and the order column. The caps stop after the
-    recipe that reaches them; None lifts both.
+    recipe that reaches them; None, the default, lifts a cap.
     """
     listed = files.withColumn("landed", L.is_source_file("path"))
     out = {
@@ -32,7 +31,7 @@ def land_manifest(
     }
     if recipes is not None:
         chosen = recipes
-        if max_recipes is not None and max_images is not None:
+        if max_recipes is not None or max_images is not None:
             urls = F.filter("images", lambda i: i["url"].isNotNull() & (i["url"] != ""))
             counted = recipes.withColumn("ok", F.greatest(F.size(urls), F.lit(0)))
             chosen = L.ingest_cap(counted, order, "ok", max_recipes, max_images)
@@ -46,7 +45,7 @@ def land_organise(
     """Organised objects with their contents, and the class counters, for a landing folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
     objects = files.select(
-        decoded_path("path").alias("key"), F.lit(None).cast("string").alias("content_type"), "length", "content"
+        F.col("path").alias("key"), F.lit(None).cast("string").alias("content_type"), "length", "content"
     )
     organised = L.organise(objects, source, dataset, timestamp if timestamp is not None else utc_timestamp())
     return organised, L.class_counters(organised)

@@ -12,6 +12,7 @@ from larder.operators.embed import Encoder, embed
 from larder.operators.knn import knn
 from larder.operators.rag import load_images, rag_traces
 from larder.operators.search import search_summary
+from larder.session import staged
 
 
 def retrieve_text(
@@ -64,13 +65,18 @@ def rag_prepare(
     model: str = "",
     encoder: Callable[[], Encoder] | None = None,
     answer: Column | None = None,
+    image_encoder: Callable[[], Encoder] | None = None,
 ) -> DataFrame:
     """Trace rows with prompt, candidates and key for ``query_id, query, user_image_path[, image_embedding]``.
 
     A query with a picture of its own searches images by that picture's vector, the others by text.
+    ``image_encoder`` encodes texts for the image collection where it is not that of the texts.
     """
-    text_hits = retrieve_text(queries, texts, k, encoder).withColumnRenamed("document", "text")
-    by_text = embed(queries.select("query_id", "query"), "query", encoder)
+    vectors = staged(embed(queries.select("query_id", "query"), "query", encoder), "query-vectors")
+    text_hits = knn(vectors, texts, k, payload=("document", "title")).withColumnRenamed("document", "text")
+    by_text = vectors
+    if image_encoder is not None:
+        by_text = staged(embed(queries.select("query_id", "query"), "query", image_encoder), "query-vectors")
     if "image_embedding" in queries.columns:
         own = queries.select("query_id", "image_embedding")
         by_text = by_text.join(own, "query_id").withColumn("embedding", F.coalesce("image_embedding", "embedding"))

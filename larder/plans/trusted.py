@@ -126,12 +126,14 @@ def trust_documents(
     require_nutrition: bool = False,
     method: str = "auto",
     out: str | None = None,
+    malformed: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Trusted recipes from merged records (``id, part, fields``) and the ids that have images.
 
     Returns ``trusted``, the one-row ``bounds`` and the one-row ``report``. The ids are tested first;
     bounds come from a projection of the nutrition numbers alone; texts are cleaned only for records
-    that stay. Later parts of very wide records follow their id. With ``out`` the recipes and the
+    that stay. ``malformed`` has one row per stored text that could not be read; the report counts
+    them. Later parts of very wide records follow their id. With ``out`` the recipes and the
     report are written, and the report's token means are read from the stored recipes.
     """
     if ids.isEmpty():
@@ -143,9 +145,9 @@ def trust_documents(
     )
     bounds = O.iqr_bounds(numbers, names.numeric, method=method)
     bounds = merged.sparkSession.createDataFrame([bounds.first()], bounds.schema)
-    keep = O.all_within("nutrition_values", names.numeric, bounds)
-    if require_nutrition:
-        keep = keep & F.col("has_nutrition_data")
+    inside = O.all_within("nutrition_values", names.numeric, bounds)
+    missing = ~F.col("has_nutrition_data") if require_nutrition else F.lit(False)
+    keep = inside & ~missing
     cleaned = text_columns(with_image.filter(keep), sources)
     dropped = F.col("totals_dropped")
     slim = F.map_filter("fields", lambda k, v: k != F.col("totals_key"))
@@ -161,8 +163,15 @@ def trust_documents(
 
     marks = ids.select("id").distinct().withColumn("has_image", F.lit(True))
     flags = nutrition_columns(main, names).select(
-        "id", F.lit(False).alias("malformed"), "totals_dropped", (~keep).alias("outlier")
+        "id", F.lit(False).alias("malformed"), "totals_dropped", (~inside).alias("outlier"), missing.alias("missing_nutrition")
     )
+    if malformed is not None:
+        no = F.lit(False)
+        bad = malformed.select(
+            F.lit(None).cast("string").alias("id"), F.lit(True).alias("malformed"), no.alias("totals_dropped"),
+            no.alias("outlier"), no.alias("missing_nutrition"),
+        )
+        flags = flags.unionByName(bad)
     flags = flags.join(marks, "id", "left").withColumn("has_image", F.coalesce("has_image", F.lit(False)))
     kept = whole.filter(F.col("part") == 0)
     report = document_report(flags, kept, TEXT_COLUMNS, bounds, ids)

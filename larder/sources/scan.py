@@ -46,10 +46,10 @@ def list_objects(spark: SparkSession, path: str, extensions: Sequence[str] | Non
 
 def scan_text(spark: SparkSession, path: str, glob: str | None = None, whole: bool = False) -> DataFrame:
     """Text lines, or whole files, with ``file, block, pos`` giving their order; gzip is read as is."""
-    reader = spark.read.option("recursiveFileLookup", True).option("wholetext", whole)
+    reader = spark.read.option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    return reader.text(path, wholetext=whole).select(
         decoded_path("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
@@ -57,10 +57,29 @@ def scan_text(spark: SparkSession, path: str, glob: str | None = None, whole: bo
     )
 
 
+VARIANT_BYTES = 16 << 20  # texts of this size or more may be beyond what one VARIANT holds
+
+
+def object_key_of(path: Column | str) -> Column:
+    """Key of a file as every reader gives it: local paths have one slash behind the scheme."""
+    return F.regexp_replace(F.col(path) if isinstance(path, str) else path, "^file:/+", "file:/")
+
+
+def _parsed(text: str, mode: str) -> Column:
+    """Parsed root; a malformed text has a null root, or fails the job when told to.
+
+    A large text that gives no root fails the job in either mode: it is more likely too large than malformed.
+    """
+    if mode == "failfast":
+        return F.parse_json(text)
+    v = F.try_parse_json(text)
+    large = v.isNull() & (F.octet_length(text) >= VARIANT_BYTES)
+    return F.when(large, F.raise_error(F.lit("JSON record too large or malformed; split it"))).otherwise(v)
+
+
 def _records(rows: DataFrame, mode: str) -> DataFrame:
-    """Add the parsed root; a malformed text has a null root, or fails the job when told to."""
-    parse = F.parse_json if mode == "failfast" else F.try_parse_json
-    return rows.filter(F.trim("value") != "").withColumn("v", parse("value"))
+    """Add the parsed root of each non-empty text."""
+    return rows.filter(F.trim("value") != "").withColumn("v", _parsed("value", mode))
 
 
 def scan_jsonl(
@@ -75,20 +94,19 @@ def scan_json_files(
 ) -> DataFrame:
     """One row per array element or single object of ``*.json`` files.
 
-    A file is parsed by one task. Arrays of more than a few hundred megabytes belong in JSONL.
+    Every element of an array is a VARIANT of its own, so the size of the array is not limited by that type.
+    A malformed array is one row without a root. A file is parsed by one task; JSONL is read in parallel.
     """
-    roots = _records(scan_text(spark, path, glob, whole=True), mode)
-    elements = spark.tvf.variant_explode(F.col("v").outer()).select(
-        F.col("pos").alias("element"), F.col("value").alias("item")
-    )
+    texts = scan_text(spark, path, glob, whole=True).filter(F.trim("value") != "")
     is_array = F.ltrim("value").startswith("[")
-    arrays = roots.filter(is_array).lateralJoin(elements)
-    return (
-        arrays.select("file", "block", F.col("element").cast("bigint").alias("pos"), F.col("item").alias("v"))
-        .unionByName(roots.filter(~is_array).select("file", "block", "pos", "v"))
-        .withColumn("value", F.lit(None).cast("string"))
-        .select("file", "block", "pos", "value", "v")
-    )
+    options = {"mode": "FAILFAST" if mode == "failfast" else "PERMISSIVE"}
+    arrays = texts.filter(is_array).withColumn("_items", F.from_json("value", "array<variant>", options))
+    arrays = arrays.filter(F.coalesce(F.size("_items") != 0, F.lit(True)))
+    arrays = arrays.select("file", "block", F.posexplode_outer("_items").alias("_at", "v"))
+    elements = arrays.select("file", "block", F.coalesce("_at", F.lit(0)).cast("bigint").alias("pos"), "v")
+    others = _records(texts.filter(~is_array), mode).select("file", "block", "pos", "v")
+    rows = elements.unionByName(others).withColumn("value", F.lit(None).cast("string"))
+    return rows.select("file", "block", "pos", "value", "v")
 
 
 def scan_json(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
@@ -114,10 +132,10 @@ def scan_images(spark: SparkSession, path: str) -> DataFrame:
     images = (
         spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
     )
-    return images.select(decoded_path("image.origin").alias("key"), "image")
+    return images.select(object_key_of(decoded_path("image.origin")).alias("key"), "image")
 
 
 def scan_image_bytes(spark: SparkSession, path: str, bucket: str) -> DataFrame:
     """Encoded images as ``bucket, key, content``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.lit(bucket).alias("bucket"), F.col("path").alias("key"), "content")
+    return files.select(F.lit(bucket).alias("bucket"), object_key_of("path").alias("key"), "content")

@@ -49,14 +49,25 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_collection(entries: DataFrame, path: str) -> None:
-    """Vector entries stored by type.
+def write_collection(entries: DataFrame, path: str, kind: str | None = None) -> DataFrame:
+    """Store vector entries by type and return the stored rows.
 
     Only the types present in ``entries`` are replaced, so texts and images of a mixed collection are
-    written by separate jobs, and a repeated run ends in the same state.
+    written by separate jobs, and a repeated run ends in the same state. ``kind`` names the one type the
+    job is about: its earlier entries go also when there is no new one.
     """
+    spark = entries.sparkSession
     writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("type").parquet(path)
+    stored = spark.read.schema(entries.schema).parquet(path)
+    if kind is None:
+        return stored
+    stored = stored.filter(F.col("type") == kind)
+    if entries.isEmpty():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/type={kind}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        stored = spark.createDataFrame([], entries.schema)
+    return stored
 
 
 def read_collection(spark: SparkSession, path: str) -> DataFrame:

@@ -149,7 +149,7 @@ def test_tasks(spark, collections):
     assert [[i["key"] for i in t["retrieved_images"]] for t in traces] == [["images/h__r1_0.jpg"]] * 2
     assert "\n" not in traces[0]["retrieved_images"][0]["b64"]
     assert "- TEXT 1 (score " in traces[0]["prompt"] and "- IMAGE 1: bucket=trusted-zone, key=images/h__r1_0.jpg" in traces[0]["prompt"]
-    assert traces[0]["prompt"].startswith("Act as a kitchen expert. ") and "who can see" in traces[1]["prompt"]
+    assert "attached no photo" in traces[0]["prompt"] and "attached a photo" in traces[1]["prompt"]
     empty = tasks.rag_prepare(queries, docs.limit(0), pictures.limit(0), data, timestamp="t").first()
     assert "(no text candidates found)" in empty["prompt"] and "(no image candidates found)" in empty["prompt"]
     assert tasks.demo_results(queries, tasks.retrieve_text(queries, docs, 3)).first()["num_results"] == 3
