@@ -38,7 +38,7 @@ def _all_bounds(spark: SparkSession, folder: str, method: str) -> DataFrame:
 
 
 def iqr_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return _all_bounds(spark, folder, "percentile")
+    return _all_bounds(spark, folder, "auto")
 
 
 def iqr_bounds_select(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,12 +16,16 @@ from larder.operators.joins import semi_join
 from larder.operators.ranking import keys_per_id
 from larder.operators.reports import document_report
 from larder.plans.formatted import screen_and_box
+from larder.session import staged
 from larder.sources import sinks
 
 TEXT_LIST = "array<struct<text:string>>"
 TEXT_COLUMNS = tuple(f"{part}_text_{form}" for part in ("title", "ingredients", "instructions") for form in ("raw", "clean"))
 
 
+JUDGED = ("totals_key", "has_nutrition_data", "totals_dropped", "nutrition_normalized", "nutrition_values")
+
+
 @dataclass(frozen=True)
 class NutritionFields:
     """Names under which nutrition data may be found in a merged record."""
@@ -130,49 +134,46 @@ def trust_documents(
 ) -> dict[str, DataFrame]:
     """Trusted recipes from merged records (``id, part, fields``) and the ids that have images.
 
-    Returns ``trusted``, the one-row ``bounds`` and the one-row ``report``. The ids are tested first;
-    bounds come from a projection of the nutrition numbers alone; texts are cleaned only for records
-    that stay. ``malformed`` has one row per stored text that could not be read; the report counts
+    Returns ``trusted``, the one-row ``bounds`` and the one-row ``report``. One narrow table of flags and
+    nutrition numbers per record is stored first; bounds, verdicts and counts come from it, and only the
+    records that stay are read whole. ``malformed`` has one row per stored text that could not be read; the report counts
     them. Later parts of very wide records follow their id. With ``out`` the recipes and the
     report are written, and the report's token means are read from the stored recipes.
     """
     if ids.isEmpty():
         raise ValueError("no recipe ids with images")
     main = merged.filter(F.col("part") == 0)
-    with_image = nutrition_columns(semi_join(main, ids, "id"), names)
-    numbers = with_image.select("nutrition_values").select(
-        *[F.col("nutrition_values")[i].alias(n) for i, n in enumerate(names.numeric)]
-    )
+    marks = ids.select("id").distinct().withColumn("has_image", F.lit(True))
+    judged = nutrition_columns(main, names).select("id", *JUDGED).join(marks, "id", "left")
+    judged = staged(judged.withColumn("has_image", F.coalesce("has_image", F.lit(False))), "record-flags")
+    numbers = judged.filter("has_image").select(*[F.col("nutrition_values")[i].alias(n) for i, n in enumerate(names.numeric)])
     bounds = O.iqr_bounds(numbers, names.numeric, method=method)
     bounds = merged.sparkSession.createDataFrame([bounds.first()], bounds.schema)
-    inside = O.all_within("nutrition_values", names.numeric, bounds)
     missing = ~F.col("has_nutrition_data") if require_nutrition else F.lit(False)
-    keep = inside & ~missing
-    cleaned = text_columns(with_image.filter(keep), sources)
-    dropped = F.col("totals_dropped")
+    inside = O.all_within("nutrition_values", names.numeric, bounds)
+    stays = judged.filter(F.col("has_image") & inside & ~missing).drop("has_image", "nutrition_values")
+    cleaned = text_columns(main.join(stays, "id"), sources)
     slim = F.map_filter("fields", lambda k, v: k != F.col("totals_key"))
     added = ("has_nutrition_data", "nutrition_normalized", *TEXT_COLUMNS)
-    trusted = cleaned.withColumn("fields", F.when(dropped, slim).otherwise(F.col("fields"))).select(
+    trusted = cleaned.withColumn("fields", F.when(F.col("totals_dropped"), slim).otherwise(F.col("fields"))).select(
         "id", "part", "fields", *added
     )
-    rest = semi_join(merged.filter(F.col("part") > 0), with_image.filter(keep), "id")
+    rest = semi_join(merged.filter(F.col("part") > 0), stays, "id")
     whole = trusted.unionByName(rest.select("id", "part", "fields"), allowMissingColumns=True)
     if out is not None:
         whole.write.mode("overwrite").parquet(f"{out}/documents")
         whole = merged.sparkSession.read.parquet(f"{out}/documents")
 
-    marks = ids.select("id").distinct().withColumn("has_image", F.lit(True))
-    flags = nutrition_columns(main, names).select(
-        "id", F.lit(False).alias("malformed"), "totals_dropped", (~inside).alias("outlier"), missing.alias("missing_nutrition")
+    flags = judged.select(
+        "id", "has_image", F.lit(False).alias("malformed"), "totals_dropped", (~inside).alias("outlier"), missing.alias("missing_nutrition")
     )
     if malformed is not None:
         no = F.lit(False)
         bad = malformed.select(
-            F.lit(None).cast("string").alias("id"), F.lit(True).alias("malformed"), no.alias("totals_dropped"),
+            F.lit(None).cast("string").alias("id"), no.alias("has_image"), F.lit(True).alias("malformed"), no.alias("totals_dropped"),
             no.alias("outlier"), no.alias("missing_nutrition"),
         )
         flags = flags.unionByName(bad)
-    flags = flags.join(marks, "id", "left").withColumn("has_image", F.coalesce("has_image", F.lit(False)))
     kept = whole.filter(F.col("part") == 0)
     report = document_report(flags, kept, TEXT_COLUMNS, bounds, ids)
     if out is not None:

@@ -93,3 +93,17 @@ def test_letterbox_of_a_large_picture_is_quick():
     start = time.time()
     I.letterboxed(pixels, (256, 256))
     assert time.time() - start < 2.0
+
+
+def test_report_counts_apart(spark):
+    from larder.plans.trusted import trust_documents
+
+    rows = [(f"r{i}", f'{{"energy": {i}}}', "nutr_values_per100g") for i in range(9)] + [("far", '{"energy": 9999}', "nutr_values_per100g"), ("none", '"x"', "title")]
+    merged = spark.createDataFrame(rows, "id string, v string, name string").selectExpr("id", "0 AS part", "map(name, parse_json(v)) AS fields")
+    ids = merged.select("id")
+    bad = spark.range(3).toDF("line")
+    row = trust_documents(merged, ids, require_nutrition=True, malformed=bad)["report"].first()
+    assert (row["total_doc_count"], row["malformed_doc_count"], row["written_doc_count"]) == (14, 3, 9)
+    assert (row["dropped_missing_nutrition"], row["dropped_outliers"]) == (1, 1)
+    row = trust_documents(merged, ids)["report"].first()
+    assert (row["written_doc_count"], row["dropped_missing_nutrition"], row["dropped_outliers"]) == (10, 0, 1)
