@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from larder import catalog
 from tests import oracle
 
 
@@ -11,7 +12,7 @@ def con(folder):
     return oracle.connect(folder)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, con, folder, name):
     ok, note = oracle.compare(spark, con, name, folder)
     assert ok, note
