@@ -4,7 +4,8 @@ A text becomes a vector of hashed byte trigrams of its A-Z lower-cased letters (
 blank): logarithmic counts times inverse document frequency, scaled to length 1. Each language has several
 centroids, the means of a spherical k-means over its training vectors; a text gets the language of the centroid with the
 highest cosine. It is rejected when the best cosine is below the bound of its length class: ``slack`` times the
-lowest that training texts of about that length reach with their own language.
+lowest that training texts of about that length or longer reach with their own language. Texts longer than all of these
+have the bound of the longest.
 
 The model is fitted on a bounded sample: about ``sample`` labelled documents of each language, chosen by a hash
 of the id. Prediction reads the text alone, whole, row by row, without a shuffle. The model is centroids x
@@ -148,13 +149,19 @@ def fit(
     model = Model([r["lang"] for r in made if r["n"] > 0], c, idf, np.zeros(21), dims)
 
     low = chosen.mapInPandas(_lowest(model), "n int, cos double").groupBy("n").agg(F.min("cos").alias("cos")).collect()
-    bounds = np.zeros(21)
-    for r in low:
-        bounds[r["n"]] = slack * r["cos"]
-    model.bounds = np.minimum.accumulate(bounds[::-1])[::-1]
+    model.bounds = bounds_of({r["n"]: slack * r["cos"] for r in low})
     return model
 
 
+def bounds_of(lowest: dict[int, float]) -> np.ndarray:
+    """Bound of every length class: the least of its own and those of longer texts, or else of the longest fitted class."""
+    bounds = np.full(21, np.inf)
+    for n, value in lowest.items():
+        bounds[n] = value
+    bounds = np.minimum.accumulate(bounds[::-1])[::-1]
+    return np.where(np.isfinite(bounds), bounds, lowest[max(lowest)] if lowest else 0.0)
+
+
 def _lowest(model: Model):
     """Cosine of training texts with the best centroid of their own language."""
 

@@ -170,6 +170,20 @@ def test_language_accuracy_on_held_out_rows(spark):
     assert right[0] > 0.97 and right[1] <= 3
 
 
+def test_language_far_from_every_centroid_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    rng = random.Random(4)
+    far = [" ".join("".join(rng.choice(letters) for _ in range(9)) for _ in range(400)) for letters in ("zxqjkw", "αβγδεζ", "一二三四五六")]
+    assert model.predict(far)["rejected"].all() and model.predict([far[0] * 200])["rejected"].all()
+
+
+def test_language_bounds_of_classes_without_texts():
+    got = language_id.bounds_of({8: 0.3, 9: 0.2, 12: 0.4})
+    assert got.tolist() == [0.2] * 10 + [0.4] * 11
+    assert language_id.bounds_of({}).tolist() == [0.0] * 21
+
+
 def test_license_phrases_and_edits(spark):
     texts = [
         "The MIT-License, the mit license; general\npublic LICENSE", "submit license mit licenses", None,
