@@ -275,9 +275,16 @@ def substring_dedup(
     )
     names = rows.select("id", "tag", F.unhex(F.md5("text")).alias("m"))
     firsts = names.groupBy("m").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    copies = names.join(firsts.select("m", "first"), "m").filter("id > first").select("id", "tag").distinct()
-    copies = _sent(staged(copies, "equal-texts"), F.lit(0), broadcast_bytes)
+    equal = names.join(firsts.select("m", "first"), "m").groupBy("id", "tag")
+    equal = staged(equal.agg(F.bool_or(F.col("id") > F.col("first")).alias("later"), F.count(F.lit(1)).alias("rows")), "equal-texts")
+    copies = _sent(equal.filter("later").select("id", "tag"), F.lit(0), broadcast_bytes)
     base = rows.join(copies, ["id", "tag"], "left_anti").select("id", "tag", "text")
+    again = equal.filter("NOT later AND rows > 1").select("id", "tag")
+    if again.limit(1).count():
+        # Equal rows are one document, or each would be a repetition of the other.
+        again = _sent(again, F.lit(0), broadcast_bytes)
+        once = base.join(again, ["id", "tag"], "left_semi").distinct()
+        base = base.join(again, ["id", "tag"], "left_anti").unionByName(once)
 
     def places(frame: DataFrame, anchored: bool, name: str) -> DataFrame:
         dealt = frame.mapInArrow(_deal(window, run, buckets, anchored), DEALT)

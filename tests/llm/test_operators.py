@@ -105,6 +105,16 @@ def test_substring_dedup(spark, window, run):
     assert all(sum(x["end"] - x["start"] for x in r["removed"]) == r["n_removed"] for r in rows)
 
 
+@pytest.mark.parametrize("most", [0, 96 << 20])
+def test_substring_dedup_keeps_one_copy_of_repeated_rows(spark, most):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    data = [(1, one), (1, one), (2, one), (3, two), (4, f"{two} c"), (4, f"{two} c"), (None, "n " * 30), (None, "n " * 30)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    rows = substring_dedup.substring_dedup(docs, broadcast_bytes=most).collect()
+    got = sorted((r["id"] or 0, r["n_words"], r["n_removed"], r["text"]) for r in rows)
+    assert got == [(0, 30, 29, "n")] * 2 + [(1, 60, 0, one)] * 2 + [(2, 60, 60, ""), (3, 60, 0, two)] + [(4, 61, 60, "c")] * 2
+
+
 def test_decontaminate_in_blocks(spark):
     texts = [t.replace(" ", "-", 3) for t in texts_of(3, 60, vocabulary=12)]
     items = [(1, "V1 v2"), (2, texts[5]), (3, "v3"), (4, "nothing here"), (5, texts[9][:60])]
