@@ -6,8 +6,8 @@ determinant is estimated over all of them: from medians and median deviations, c
 ``half`` of rows that are nearest by Mahalanobis distance and take their mean and covariance. A row farther than
 the ``cut`` quantile of chi-square is rejected. Each step is two aggregations by group with map-side combine
 over a narrow table, so a group with a third of all rows costs what its rows cost; nothing but one row per group is
-gathered. Rates that hardly vary have their deviation raised to a floor, so that rare harmless marks do not
-reject a text.
+gathered. Rates that vary less than a floor have their deviation raised to it, so that rare harmless marks do not
+reject a text; all four can reject a text by themselves.
 
 Defined results: null and empty texts have no words and fail the limits. Null languages and sources are groups of their own.
 Groups of fewer than ``least`` texts are not judged by distance. Equal rows get equal results. An empty table gives an
@@ -33,6 +33,7 @@ SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FLOORS = (0.08, 0.8, 0.8, 0.8)  # least standard deviation of each component
 P = len(FLOORS)
+RIDGE = 0.01  # share by which covariances are lowered, so that components in step keep an inverse
 
 
 def repeated_words(x: np.ndarray, width: int = 3) -> int:
@@ -122,7 +123,7 @@ def _inverses(scale: float):
     """Mean and inverse covariance of each group from its sums."""
 
     def inverses(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        floor = np.diag(np.square(FLOORS))
+        floor = np.square(FLOORS)
         for frame in frames:
             means, invs = [], []
             for n, s, c in zip(frame["n"], frame["s"], frame["c"]):
@@ -131,7 +132,11 @@ def _inverses(scale: float):
                 cov[np.triu_indices(P)] = np.array(c, float) / n
                 cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
                 means.append(mean.tolist())
-                invs.append(np.linalg.inv(scale * cov + floor).ravel().tolist())
+                cov *= scale
+                variance = np.maximum(np.diag(cov), floor)
+                cov *= 1 - RIDGE
+                np.fill_diagonal(cov, variance)
+                invs.append(np.linalg.inv(cov).ravel().tolist())
             yield pd.DataFrame({"gl": frame["gl"], "gs": frame["gs"], "mean": means, "inv": invs})
 
     return inverses
@@ -156,7 +161,7 @@ def mcd(rows: DataFrame, half: float = 0.75, steps: int = 3, least: int = 40) ->
     spread = apart.groupBy("gl", "gs", "mean").agg(
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col("mean")[i]), 0.5, 10000).alias(f"m{i}") for i in range(P)]
     )
-    inv = [F.lit(0.0) if i != j else 1 / (F.pow(1.4826 * F.col(f"m{i}"), 2) + FLOORS[i] ** 2) for i in range(P) for j in range(P)]
+    inv = [F.lit(0.0) if i != j else 1 / F.greatest(F.pow(1.4826 * F.col(f"m{i}"), 2), F.lit(FLOORS[i] ** 2)) for i in range(P) for j in range(P)]
     fit = staged(spread.select("gl", "gs", "mean", F.array(*inv).alias("inv")), "estimates")
     for _ in range(steps):
         near = rows.join(fit, same(fit)).withColumn("d", _distance())
@@ -174,7 +179,7 @@ def mcd(rows: DataFrame, half: float = 0.75, steps: int = 3, least: int = 40) ->
 
 def quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    least_words: int = 50, most_repeated: int = 50, cut: float = 1 - 1e-6, **options,
+    least_words: int = 50, most_repeated: int = 50, cut: float = 0.999, **options,
 ) -> DataFrame:
     """``(id, counts, base_failed, distance, kept)``; the distance is null where there is no estimate."""
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))

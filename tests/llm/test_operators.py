@@ -260,6 +260,26 @@ def test_quality_counts_and_outliers(spark):
     assert sum(rows[i]["kept"] for i in range(300)) == 300 and not any(rows[i]["kept"] for i in range(300, 305))
 
 
+def test_quality_rejects_each_single_statistic(spark):
+    rng = random.Random(5)
+    words = lambda n, size=6: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size)) for _ in range(n)]
+    texts = [" ".join(words(rng.randint(100, 200))) for _ in range(200)]
+    some = words(45)
+    lines = [" ".join(words(15)) for _ in range(2)]
+    odd = [
+        " ".join(words(100, 12)),  # long words
+        " ".join(words(100)) + " #" * 2 + " $%*&" * 1,  # symbols: 6 in 103 words
+        " ".join(words(100)) + "\nab\nab\ncd\ncd\nef\nef\ngh\ngh\nij\nij",  # 5 lines that stand twice
+        " ".join(some + words(110) + some),  # 45 % of the words stand in repeated windows
+        "\n".join([*lines, *lines, " ".join(words(90))]),  # 40 % of the words in lines that stand twice
+    ]
+    docs = frame(spark, texts + odd).withColumn("source", F.lit("s"))
+    rows = {r["id"]: r for r in quality_rules.quality(docs).collect()}
+    assert not any(r["base_failed"] for r in rows.values())
+    assert [rows[200 + i]["kept"] for i in range(len(odd))] == [False] * len(odd)
+    assert sum(rows[i]["kept"] for i in range(200)) >= 198
+
+
 def test_chi_square():
     assert quality_rules.chi2_quantile(0.95, 4) == pytest.approx(9.4877, abs=1e-3)
     assert quality_rules.chi2_cdf(5.3853, 6) == pytest.approx(0.5046, abs=1e-3)
