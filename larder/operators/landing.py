@@ -113,7 +113,8 @@ def ingest_cap(
     """Leading recipes up to and including the one that reaches a cap.
 
     The cap is the operator's purpose; None lifts one. An image cap without a recipe cap lets no recipe
-    behind the first ``max_images`` with images through, so the window runs over no more than those.
+    behind the first ``max_images`` with images through, so the window runs over no more than those. With fewer
+    images in all than the cap every recipe stays.
     """
     head = recipes
     if max_recipes is not None:
@@ -121,7 +122,10 @@ def ingest_cap(
     if max_images is None:
         return head
     if max_recipes is None:
-        last = recipes.filter(F.col(ok) > 0).orderBy(order).limit(max(max_images, 1)).agg(F.max(order)).first()[0]
+        leading = recipes.filter(F.col(ok) > 0).orderBy(order).limit(max(max_images, 1))
+        last, images = leading.agg(F.max(order), F.sum(ok)).first()
+        if last is not None and images < max_images:
+            return recipes
         head = recipes if last is None else recipes.filter(F.col(order) <= last)
         if last is None:
             return head if max_images > 0 else head.limit(0)

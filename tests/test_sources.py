@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import images as I
 from larder.functions import text as T
+from larder.operators import landing as L
 from larder.operators import outliers as O
 from larder.plans import landing
 from larder.sources import scan, sinks
@@ -107,3 +108,10 @@ def test_report_counts_apart(spark):
     assert (row["dropped_missing_nutrition"], row["dropped_outliers"]) == (1, 1)
     row = trust_documents(merged, ids)["report"].first()
     assert (row["written_doc_count"], row["dropped_missing_nutrition"], row["dropped_outliers"]) == (10, 0, 1)
+
+
+@pytest.mark.parametrize("most,want", [(5, [0, 1, 2, 3, 4]), (4, [0, 1, 2, 3, 4]), (3, [0, 1, 2]), (1, [0, 1]), (0, [])])
+def test_image_cap_alone_keeps_recipes_behind_the_last_image(spark, most, want):
+    recipes = spark.createDataFrame([(0, 0), (1, 2), (2, 1), (3, 0), (4, 0)], "id int, ok int")
+    got = L.ingest_cap(recipes, "id", max_recipes=None, max_images=most).collect()
+    assert sorted(r["id"] for r in got) == want
