@@ -63,6 +63,16 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = 768 << 10)
                 yield batch.slice(a, b - a)
 
 
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column in one array, and the offsets of its rows (null: empty)."""
+    column = pc.fill_null(column, b"")
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def planes(values: np.ndarray) -> bytes:
     """64-bit values byte plane by byte plane, so that leading zero bytes compress away."""
     return np.ascontiguousarray(values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T).tobytes()

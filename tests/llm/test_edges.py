@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larder.llm import (
-    class_model, decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, quality_rules, sharding, substring_dedup,
+    class_model, decontaminate, fill_middle, language_id, license_scan, line_dedup, mixing, ngram_join, packing, periodic_runs, quality_rules,
+    sharding, substring_dedup,
 )
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, size string, shard string, copies string, "
     "marks string, _row string, tag string, n_words string, word string, _words string, component_id string"
@@ -45,6 +48,9 @@ OPERATORS = {
     "mixing": lambda spark, docs: mixing.mix(docs),
     "quality_rules": lambda spark, docs: quality_rules.quality(docs),
     "sharding": lambda spark, docs: sharding.shard(docs),
+    "fill_middle": lambda spark, docs: fill_middle.fill_middle(docs),
+    "periodic_runs": lambda spark, docs: periodic_runs.periodic_runs(docs),
+    "packing": lambda spark, docs: packing.pack(packing.token_pieces(docs, WORD_BPE)).filter("piece = 0"),
 }
 
 
@@ -76,6 +82,12 @@ def test_defined_results(spark):
     assert lang[0]["lang"] == lang[9]["lang"] == "und" and lang[0]["score"] == 0.0 and lang[3]["lang"] == "en"
     assert {r["doc_id"]: r["size"] for r in mixing.mix(docs).collect()}[0] == 0
     assert {r["doc_id"]: r["size"] for r in sharding.shard(docs).collect()}[0] == 8
+    filled = {r["id"]: r for r in fill_middle.fill_middle(docs).collect()}
+    assert filled[0]["n"] == 0 and filled[0]["form"] == "plain" and filled[0]["output"] == "" and filled[2]["n"] == 1 and filled[5]["n"] == 60_000
+    cycles = {r["id"]: r for r in periodic_runs.periodic_runs(docs).collect()}
+    assert [tuple(r) for r in cycles[6]["runs"]] == [(0, 60_000, 977 * 13)] and len(cycles[5]["collapsed"].split()) == 977 * 13 and cycles[0]["collapsed"] == ""
+    packed = packing.pack(packing.token_pieces(docs, WORD_BPE)).collect()
+    assert [(r["length"], r["ids"]) for r in packed if r["id"] == 0] == [(1, [1])] and max(r["length"] for r in packed if r["id"] == 5) == 4096
     lines = {r["id"]: r for r in line_dedup.line_dedup(docs, min_docs=2).collect()}
     assert lines[0]["n_lines"] == 1 and lines[5]["n_dropped"] == 1 and lines[6]["n_dropped"] == 0
 

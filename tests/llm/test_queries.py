@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, con, folder, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_pipeline_keeps_clean_documents(spark, folder):
