@@ -1,7 +1,8 @@
 """Merge of JSON records from many sources by id, with provenance-tagged field names.
 
 Input records have ``id STRING, tag STRING, v VARIANT`` (an object) and the arrival order columns
-``file, block, pos``; a block is one input split, which bounds the rows per (file, block).
+``file, block, pos`` and, where a line holds several records, ``item``; a block is one input split, which bounds the rows
+per (file, block).
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.ranking import group_rank
-from larder.session import ship_package
+from larder.session import ship_package, staged
 
-ARRIVAL = ("file", "block", "pos")
+ARRIVAL = ("file", "block", "pos", "item")
 SPLIT = ("file", "block")
 
 
@@ -24,17 +25,20 @@ def require_id(records: DataFrame) -> DataFrame:
     return records.filter(F.col("id").isNotNull() & (F.trim("id") != ""))
 
 
-def explode_fields(records: DataFrame, skip: Sequence[str] = ("url", "partition")) -> DataFrame:
-    """One row per top-level field, without ``id`` and the skipped names."""
+def explode_fields(records: DataFrame) -> DataFrame:
+    """One row per top-level field; a record without fields has one row without a name. ``first`` marks one row per record."""
     spark = records.sparkSession
-    fields = spark.tvf.variant_explode(F.col("v").outer()).select(
-        F.col("key").alias("field"), F.col("value")
-    )
-    return (
-        records.lateralJoin(fields)
-        .select("id", "tag", *ARRIVAL, "field", "value")
-        .filter(~F.col("field").isin("id", *skip))
-    )
+    if "item" not in records.columns:
+        records = records.withColumn("item", F.lit(0))
+    fields = spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos").alias("nth"), F.col("key").alias("field"), F.col("value"))
+    base = F.concat(F.col("field"), F.lit("__from_"), F.col("tag")).alias("base")
+    first = F.coalesce(F.col("nth"), F.lit(0)) == 0
+    return records.lateralJoin(fields).select("id", *ARRIVAL, first.alias("first"), "field", base, _root(F.col("field")).alias("root"), "value")
+
+
+def stage_fields(records: DataFrame) -> DataFrame:
+    """Fields of the records with an id, stored: sources are read and parsed once, and later steps read only the columns they need."""
+    return staged(explode_fields(require_id(records)), "record-fields")
 
 
 def _numbered(base: Column, n: Column) -> Column:
@@ -97,9 +101,7 @@ def _first_free_names(always_tag: bool):
                     bare.add(name)
                 names.append(name)
                 numbers.append(number)
-            yield pd.DataFrame(
-                {"id": batch["id"], "name": names, "n": numbers, "json": batch["json"]}
-            )
+            yield batch[["id", *ARRIVAL, "field"]].assign(name=names, n=numbers)
 
     return assign
 
@@ -117,36 +119,45 @@ def tagged_merge_long(
     gathered anywhere. Only where a source field is literally called like a generated name are the
     names handed out one by one, in a sorted pass that keeps no rows.
     """
-    base = F.concat(F.col("field"), F.lit("__from_"), F.col("tag"))
-    fields = explode_fields(require_id(records), skip).withColumn("base", base)
-    clashing = _clashing_roots(fields, always_tag)
-    fields = fields.withColumn("root", _root(F.col("field")))
-    plain = fields.join(clashing, ["id", "root"], "left_anti")
-    clash = fields.join(clashing, ["id", "root"], "left_semi")
+    return merge_fields(stage_fields(records), skip, always_tag)
 
+
+def merge_fields(fields: DataFrame, skip: Sequence[str] = ("url", "partition"), always_tag: bool = True) -> DataFrame:
+    """``tagged_merge_long`` of stored fields.
+
+    Only names that arrive more than once in an id, and those that may clash, are numbered, without their values; all other fields
+    take their name from a look at the counts.
+    """
+    fields = fields.filter(F.col("field").isNotNull() & ~F.col("field").isin("id", *skip))
+    narrow = fields.drop("value", "first")
+    clashing = staged(_clashing_roots(narrow, always_tag), "clashing-names")
+    key = "base" if always_tag else "field"
+    repeated = narrow.groupBy("id", key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("id", key)
+    some = narrow.join(repeated, ["id", key], "left_semi")
+    clashes = not clashing.isEmpty()
+    if clashes:
+        some = some.join(clashing, ["id", "root"], "left_anti")
+
+    ranked = group_rank(some, ["id", key], list(ARRIVAL), "n", chunk=list(SPLIT))
     if always_tag:
-        ranked = group_rank(plain, ["id", "base"], list(ARRIVAL), "n", chunk=list(SPLIT))
-        named = ranked.select("id", _numbered(F.col("base"), F.col("n")).alias("name"), "n", "value")
+        numbers = ranked.select("id", *ARRIVAL, "field", _numbered(F.col("base"), F.col("n")).alias("name"), "n")
     else:
-        ranked = group_rank(plain, ["id", "field"], list(ARRIVAL), "n", chunk=list(SPLIT))
-        first = ranked.filter("n = 1").select("id", F.col("field").alias("name"), "n", "value")
         later = group_rank(
             ranked.filter("n > 1").drop("n"), ["id", "base"], list(ARRIVAL), "n", chunk=list(SPLIT)
         )
-        named = first.unionByName(
-            later.select("id", _numbered(F.col("base"), F.col("n")).alias("name"), "n", "value")
+        numbers = later.select("id", *ARRIVAL, "field", _numbered(F.col("base"), F.col("n")).alias("name"), "n")
+    if clashes:
+        ship_package(fields.sparkSession)
+        ordered = (
+            narrow.join(clashing, ["id", "root"], "left_semi")
+            .select("id", "root", "field", "base", *ARRIVAL)
+            .repartition("id", "root")
+            .sortWithinPartitions("id", "root", *ARRIVAL)
         )
-
-    ship_package(records.sparkSession)
-    ordered = (
-        clash.select("id", "root", "field", "base", *ARRIVAL, F.to_json("value").alias("json"))
-        .repartition("id", "root")
-        .sortWithinPartitions("id", "root", *ARRIVAL)
-    )
-    assigned = ordered.mapInPandas(
-        _first_free_names(always_tag), "id string, name string, n bigint, json string"
-    ).select("id", "name", "n", F.parse_json("json").alias("value"))
-    return named.unionByName(assigned)
+        schema = "id string, file string, block bigint, pos bigint, item int, field string, name string, n bigint"
+        numbers = numbers.unionByName(ordered.mapInPandas(_first_free_names(always_tag), schema))
+    named = fields.join(numbers, ["id", *ARRIVAL, "field"], "left")
+    return named.select("id", F.coalesce("name", key).alias("name"), F.coalesce("n", F.lit(1)).alias("n"), "value")
 
 
 def tagged_merge(
@@ -160,11 +171,17 @@ def tagged_merge(
     An ordinary id is one row with part 0. Fields numbered beyond ``part_width`` go to part 1, 2, ... so
     a row is bounded by ``part_width`` times the number of distinct field names.
     """
-    long = tagged_merge_long(records, skip, always_tag)
+    return merged_rows(stage_fields(records), skip, always_tag, part_width)
+
+
+def merged_rows(
+    fields: DataFrame, skip: Sequence[str] = ("url", "partition"), always_tag: bool = True, part_width: int = 1024
+) -> DataFrame:
+    """``tagged_merge`` of stored fields."""
+    long = merge_fields(fields, skip, always_tag)
     part = F.floor((F.col("n") - 1) / F.lit(part_width)).cast("bigint")
     entries = long.select("id", part.alias("part"), F.struct("name", "value").alias("entry"))
-    ids = require_id(records).select("id").distinct()
-    bare = ids.select("id", F.lit(0).cast("bigint").alias("part"), F.lit(None).alias("entry"))
+    bare = fields.filter("first").select("id", F.lit(0).cast("bigint").alias("part"), F.lit(None).alias("entry"))
     return (
         entries.unionByName(bare)
         .groupBy("id", "part")
@@ -181,7 +198,15 @@ def pick_fields(long: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def merge_counters(records: DataFrame) -> DataFrame:
     """Records per file, plus the total and the number of distinct ids on every row."""
-    valid = require_id(records)
+    return _counters(require_id(records))
+
+
+def field_counters(fields: DataFrame) -> DataFrame:
+    """``merge_counters`` of stored fields."""
+    return _counters(fields.filter("first"))
+
+
+def _counters(valid: DataFrame) -> DataFrame:
     per_file = valid.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
     totals = valid.agg(
         F.count(F.lit(1)).alias("total_records"), F.countDistinct("id").alias("unique_ids")

@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.text import fixed, percent, token_len
 
 
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """The rows, and the counts the first job over them leaves behind: no scan of their own.
+
+    The job has to read the rows once and whole, as a write or ``staged`` does.
+    """
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
+
+
+def observed_row(spark: SparkSession, counts: dict[str, int | None]) -> DataFrame:
+    """One row of counts."""
+    return spark.createDataFrame([tuple(int(v or 0) for v in counts.values())], ", ".join(f"{n} bigint" for n in counts))
+
+
 def token_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean whitespace-token count of each text column."""
     return df.agg(*[F.coalesce(F.avg(token_len(c)), F.lit(0.0)).alias(c) for c in columns])

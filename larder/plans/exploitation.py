@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import images as I
@@ -12,7 +12,9 @@ from larder.functions import keys as K
 from larder.functions import text as T
 from larder.functions import values as V
 from larder.operators.embed import Encoder, embed, pixel_embed
-from larder.sources import sinks
+from larder.operators.reports import observed, observed_row
+from larder.session import staged
+from larder.sources import scan, sinks
 
 LIGHTS = ("fat", "salt", "saturates", "sugars")
 FIRST_SOURCE, SECOND_SOURCE, THIRD_SOURCE = "__from_recipes_with_nutritional_info", "__from_layer1", "__from_det_ingrs"
@@ -23,8 +25,8 @@ def _text_list(value: Column) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
-def document_entries(trusted: DataFrame, bucket: str = "trusted-zone") -> DataFrame:
-    """One text entry per trusted recipe that has any text; later parts of wide records are not texts."""
+def _entry_rows(trusted: DataFrame, bucket: str) -> DataFrame:
+    """The entry of each first part, and whether it can be one: ``ok``."""
     fields = F.col("fields")
 
     def string(name: str) -> Column:
@@ -46,10 +48,9 @@ def document_entries(trusted: DataFrame, bucket: str = "trusted-zone") -> DataFr
             F.col("nutrition_normalized").alias("has_nutrition"),
             *[F.try_variant_get(lights, f"$.{c}", "string").alias(f"fsa_{c}") for c in LIGHTS],
         )
-        .filter(F.col("id") != "")
         .withColumn("document", T.document_text("title", "_ingredients", "_instructions"))
-        .filter(F.col("document") != "")
         .select(
+            ((F.col("id") != "") & (F.col("document") != "")).alias("ok"),
             "id",
             "document",
             F.lit("text").alias("type"),
@@ -61,6 +62,11 @@ def document_entries(trusted: DataFrame, bucket: str = "trusted-zone") -> DataFr
     )
 
 
+def document_entries(trusted: DataFrame, bucket: str = "trusted-zone") -> DataFrame:
+    """One text entry per trusted recipe that has any text; later parts of wide records are not texts."""
+    return _entry_rows(trusted, bucket).filter("ok").drop("ok")
+
+
 def exploit_documents(
     trusted: DataFrame,
     documents: str | None = None,
@@ -122,11 +128,31 @@ def exploit_images(
     return embedded
 
 
-def ingest_flags(trusted: DataFrame) -> DataFrame:
+def ingest_flags(trusted: DataFrame, bucket: str = "trusted-zone") -> DataFrame:
     """``id, ok`` per record: false where no text entry comes out of it."""
-    entries = document_entries(trusted).select("id").distinct().withColumn("_entry", F.lit(True))
-    rows = trusted.filter(F.col("part") == 0).select(F.trim("id").alias("id"))
-    return rows.join(entries, "id", "left").select("id", F.coalesce("_entry", F.lit(False)).alias("ok"))
+    return _entry_rows(trusted, bucket).select("id", F.coalesce("ok", F.lit(False)).alias("ok"))
+
+
+def ingest_documents(
+    spark: SparkSession, source: str, bucket: str = "trusted-zone", lines: str = scan.JSON_LINES, files: str = scan.JSON_FILES
+) -> tuple[DataFrame, DataFrame]:
+    """Text entries of the stored recipes under ``source``, and one row of counters.
+
+    The job that stores the entries counts them: records that became entries, and all others, unreadable lines, elements and items of
+    lists included.
+    """
+    candidates = scan.scan_candidates(spark, source, lines=lines, files=files)
+    fields, texts = F.col("fields"), ("title", "ingredients", "instructions")
+    clean = {f"{p}_text_{f}": F.try_variant_get(fields[f"{p}_text_{f}"], "$", "string") for p in texts for f in ("raw", "clean")}
+    named = F.coalesce(F.try_variant_get("v", "$.id", "string"), F.lit(""))
+    rows = candidates.select(named.alias("id"), F.lit(0).alias("part"), scan.record_fields("v").alias("fields"))
+    rows = rows.withColumns(clean | {"nutrition_normalized": F.try_variant_get(fields["nutrition_normalized"], "$", "boolean")})
+    ok = F.coalesce("ok", F.lit(False))
+    seen_rows, seen = observed(_entry_rows(rows, bucket), processed_records=F.count_if(ok), discarded_records=F.count_if(~ok))
+    entries = staged(seen_rows.filter("ok").drop("ok"), "text-entries")
+    listed = [spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", g).load(source) for g in (lines, files)]
+    counts = {n: seen.get.get(n) for n in ("processed_records", "discarded_records")}
+    return entries, observed_row(spark, counts | {"total_files": sum(x.select("path").count() for x in listed)})
 
 
 def metadata_text(entries: DataFrame) -> DataFrame:

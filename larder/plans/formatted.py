@@ -11,7 +11,8 @@ from larder.functions import images as I
 from larder.functions import keys as K
 from larder.operators import screening as Q
 from larder.operators.joins import semi_join, skip_existing
-from larder.operators.merge import merge_counters, tagged_merge
+from larder.operators.merge import field_counters, merged_rows, stage_fields
+from larder.operators.reports import observed
 from larder.session import staged
 from larder.sources import scan, sinks
 
@@ -25,14 +26,22 @@ def format_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Merge all JSON files under ``source`` by id; returns the merged rows and the per-file counters.
 
-    Nothing is written without ``out`` (a dry run); the counters come either way.
+    The sources are read by one job, which also counts what is malformed or lacks an id; these two counts stand on every row.
+    Nothing is written to ``out`` without it (a dry run); the counters are the same either way.
     """
-    records = scan.scan_documents(spark, source)
-    merged = tagged_merge(records, skip, always_tag)
+    bad, named = F.col("reason").isNotNull(), F.try_variant_get("v", "$.id", "string")
+    candidates, seen = observed(
+        scan.scan_candidates(spark, source),
+        malformed_records=F.count_if(bad),
+        records_without_id=F.count_if(~bad & (F.trim(F.coalesce(named, F.lit(""))) == "")),
+    )
+    fields = stage_fields(scan.as_records(candidates))
+    merged = merged_rows(fields, skip, always_tag)
     if out is not None:
         sinks.write_merged(merged, out)
         merged = spark.read.parquet(out)
-    return merged, merge_counters(records)
+    lost = {n: F.lit(int(seen.get.get(n) or 0)).cast("bigint") for n in ("malformed_records", "records_without_id")}
+    return merged, field_counters(fields).withColumns(lost)
 
 
 def measured_images(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,13 +57,14 @@ def write_collection(entries: DataFrame, path: str, kind: str | None = None) ->
     job is about: its earlier entries go also when there is no new one.
     """
     spark = entries.sparkSession
-    writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    seen = Observation()
+    writer = entries.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("type").parquet(path)
     stored = spark.read.schema(entries.schema).parquet(path)
     if kind is None:
         return stored
     stored = stored.filter(F.col("type") == kind)
-    if entries.isEmpty():
+    if not seen.get.get("n"):
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/type={kind}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
         stored = spark.createDataFrame([], entries.schema)

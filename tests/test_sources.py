@@ -34,7 +34,7 @@ def test_roots_of_all_kinds(spark, tmp_path):
     with gzip.open(tmp_path / "f.jsonl.gz", "wt") as f:
         f.write('{"id": "6"}\n')
     got = scan.scan_documents(spark, str(tmp_path)).select("id").collect()
-    assert sorted(r["id"] for r in got) == ["1", "2", "3", "4", "5", "6"]
+    assert sorted(r["id"] for r in got) == ["1", "2", "3", "4", "5", "6", "x"]
     assert scan.scan_json(spark, str(tmp_path)).filter("v IS NULL").count() == 2
     with pytest.raises(Exception):
         scan.scan_json(spark, str(tmp_path), mode="failfast").collect()
