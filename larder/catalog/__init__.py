@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larder.catalog import images, keys, landing, merging, quality, retrieval, text
+from larder.catalog import images, keys, landing, merging, quality, retrieval, scanning, text
 
-MODULES = (text, keys, landing, merging, quality, images, retrieval)
+MODULES = (text, keys, landing, merging, quality, images, retrieval, scanning)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}

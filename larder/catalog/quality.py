@@ -10,7 +10,7 @@ from larder.functions import text as T
 from larder.functions import values as V
 from larder.operators import outliers as O
 from larder.operators import reports as R
-from larder.plans.exploitation import document_entries, ingest_flags, metadata_text
+from larder.plans.exploitation import document_entries, metadata_text
 from larder.plans.trusted import nutrition_columns, trust_documents
 from larder.session import staged, staging_path
 
@@ -230,11 +230,6 @@ FROM e
 """
 
 
-def ingest_counters(spark: SparkSession, folder: str) -> DataFrame:
-    flags = ingest_flags(_trusted(spark, folder)["trusted"]).withColumn("file", F.lit("recipes.jsonl"))
-    return R.ingest_counters(flags)
-
-
 def entry_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Metadata JSON of the entries, absent values left out."""
     return metadata_text(text_entries(spark, folder).drop("title"))
@@ -288,7 +283,6 @@ QUERIES = {
     "trusted_documents": trusted_documents,
     "document_report": document_report,
     "text_entries": text_entries,
-    "ingest_counters": ingest_counters,
     "entry_metadata": entry_metadata,
     "run_metrics": run_metrics,
     "sample_metrics": sample_metrics,
@@ -306,9 +300,6 @@ SQL = {
     "trusted_documents": TRUSTED_DOCUMENTS,
     "document_report": DOCUMENT_REPORT,
     "text_entries": TEXT_ENTRIES,
-    "ingest_counters": f"""
-        WITH {_RAW} SELECT count(*) AS processed_records, CAST(0 AS BIGINT) AS discarded_records,
-        CAST(1 AS BIGINT) AS total_files FROM f WHERE has_image AND NOT outlier""",
     "entry_metadata": ENTRY_METADATA,
     "run_metrics": f"""
         WITH {SQL_STAGES}

@@ -130,12 +130,13 @@ def merge_fields(fields: DataFrame, skip: Sequence[str] = ("url", "partition"),
     """
     fields = fields.filter(F.col("field").isNotNull() & ~F.col("field").isin("id", *skip))
     narrow = fields.drop("value", "first")
-    clashing = staged(_clashing_roots(narrow, always_tag), "clashing-names")
+    clashing = _clashing_roots(narrow, always_tag)
     key = "base" if always_tag else "field"
     repeated = narrow.groupBy("id", key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("id", key)
     some = narrow.join(repeated, ["id", key], "left_semi")
     clashes = not clashing.isEmpty()
     if clashes:
+        clashing = staged(clashing, "clashing-names")
         some = some.join(clashing, ["id", "root"], "left_anti")
 
     ranked = group_rank(some, ["id", key], list(ARRIVAL), "n", chunk=list(SPLIT))

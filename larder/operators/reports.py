@@ -63,15 +63,6 @@ def document_report(
     )
 
 
-def ingest_counters(items: DataFrame, ok: str = "ok", file: str = "file") -> DataFrame:
-    """One row: records stored, records discarded, files read."""
-    return items.agg(
-        F.count_if(F.col(ok)).alias("processed_records"),
-        F.count_if(~F.col(ok)).alias("discarded_records"),
-        F.countDistinct(file).alias("total_files"),
-    )
-
-
 def run_summary(stages: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One row over stage metrics (``stage, duration, memory_usage, disk_usage, success``)."""
     done = F.col("duration").isNotNull()

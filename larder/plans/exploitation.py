@@ -128,11 +128,6 @@ def exploit_images(
     return embedded
 
 
-def ingest_flags(trusted: DataFrame, bucket: str = "trusted-zone") -> DataFrame:
-    """``id, ok`` per record: false where no text entry comes out of it."""
-    return _entry_rows(trusted, bucket).select("id", F.coalesce("ok", F.lit(False)).alias("ok"))
-
-
 def ingest_documents(
     spark: SparkSession, source: str, bucket: str = "trusted-zone", lines: str = scan.JSON_LINES, files: str = scan.JSON_FILES
 ) -> tuple[DataFrame, DataFrame]:

@@ -188,6 +188,10 @@ def record_fields(v: str) -> Column:
     return F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"), lambda k, x: k != "id")
 
 
+def _sample() -> Column:
+    return F.left(F.regexp_replace("value", r"^\s+", ""), F.lit(SAMPLE))
+
+
 def quarantine(spark: SparkSession, path: str, lines: str = JSON_LINES, files: str = JSON_FILES) -> DataFrame:
     """What ``scan_documents`` cannot use: ``file, at, item, reason, sample``.
 
@@ -195,7 +199,7 @@ def quarantine(spark: SparkSession, path: str, lines: str = JSON_LINES, files: s
     over the lines parses them and keeps lengths; offsets are sums of lengths inside a block and of the blocks before.
     """
     object_, list_ = _is_object(), _list_items()
-    root = F.struct(F.lit(0).alias("item"), F.lit(NOT_OBJECT).alias("reason"), F.left("value", F.lit(SAMPLE)).alias("sample"))
+    root = F.struct(F.lit(0).alias("item"), F.lit(NOT_OBJECT).alias("reason"), _sample().alias("sample"))
     unread = root.withField("reason", F.lit(NOT_JSON))
     others = F.filter(
         F.transform(list_, lambda x, i: F.when(
@@ -216,7 +220,7 @@ def quarantine(spark: SparkSession, path: str, lines: str = JSON_LINES, files: s
     lost = placed.select("file", "at", F.inline("bad"))
     whole = scan_json_files(spark, path, glob=files)
     reason = F.coalesce("reason", F.when(F.col("v").isNull(), F.lit(NOT_JSON)).when(~_is_object(), F.lit(NOT_OBJECT)))
-    rest = whole.select("file", "at", F.lit(0).alias("item"), reason.alias("reason"), F.left("value", F.lit(SAMPLE)).alias("sample"))
+    rest = whole.select("file", "at", F.lit(0).alias("item"), reason.alias("reason"), _sample().alias("sample"))
     return lost.unionByName(rest.filter(F.col("reason").isNotNull())).select("file", "at", "item", "reason", "sample")
 
 

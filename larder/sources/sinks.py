@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from larder.session import ship_package
+
 
 def sorted_by(df: DataFrame, *columns: str) -> DataFrame:
     """Globally ordered output by range partitions, each sorted on its own."""
@@ -35,6 +40,24 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of one partition as one JSON array: commas behind all but the last."""
+    held, first = None, "["
+    for batch in batches:
+        for value in batch.column("value").to_pylist():
+            if held is not None:
+                yield pa.RecordBatch.from_pydict({"value": [f"{first}{held},"]})
+                first = ""
+            held = value
+    yield pa.RecordBatch.from_pydict({"value": [f"{first}{held or ''}]"]})
+
+
+def write_json_arrays(rows: DataFrame, path: str) -> None:
+    """JSON texts (``value``) as files that are one array each, one element per line; a partition makes a file."""
+    ship_package(rows.sparkSession)
+    rows.select("value").mapInArrow(_bracketed, "value string").write.mode("overwrite").text(path)
+
+
 def write_images(images: DataFrame, path: str, overwrite: bool = True) -> None:
     """Normalised rasters as a parquet table ``dst_key, image``."""
     images.write.mode("overwrite" if overwrite else "append").parquet(path)

@@ -142,10 +142,10 @@ def test_lines_and_lists(spark, tmp_path, block_size, size):
     for line in lines:
         lead = len(line) - len(line.lstrip())
         for item, reason, sample in {
-            "  {bad": [(0, "not JSON", "  {bad")], lines[3]: [(1, "not an object", "5"), (3, "not an object", "[6]")], "7": [(0, "not an object", "7")],
+            "  {bad": [(0, "not JSON", "{bad")], lines[3]: [(1, "not an object", "5"), (3, "not an object", "[6]")], "7": [(0, "not an object", "7")],
             '"text"': [(0, "not an object", '"text"')], '{"id": "9"': [(0, "not JSON", '{"id": "9"')],
         }.get(line, []):
             want.append((at + lead, item, reason, sample))
         at += len(line.encode()) + 1
-    assert mine == want and all(text[a:].startswith(s.strip().encode()) for a, i, _, s in mine if i == 0)
-    assert [r["sample"] for r in bad if not r["file"].endswith("a.jsonl")] == [" 6"]
+    assert mine == want and all(text[a:].startswith(s.encode()) for a, i, _, s in mine if i == 0)
+    assert [r["sample"] for r in bad if not r["file"].endswith("a.jsonl")] == ["6"]
