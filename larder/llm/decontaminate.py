@@ -8,7 +8,8 @@ the prefix tokens are joined with them, a candidate has to pass the length and p
 at word 0 or later and ends inside the document), and its words are compared one by one with those of the text.
 
 The tokens sent to the tasks are those of the benchmark, in blocks of at most ``block`` hashes: a larger
-benchmark takes several passes over the documents.
+benchmark takes several passes over the documents. Up to ``sent_candidates`` candidate windows are sent to the texts; more shuffle the texts
+once.
 
 Defined results: null texts have no words and no windows. Repeated rows get one result each. Items with one
 text are found together. A null item id marks words as hit but adds no item. Empty tables give empty results
@@ -98,6 +99,7 @@ def decontaminate(
     window: int = 10,
     shingle: int = 5,
     block: int = 2_000_000,
+    sent_candidates: int = 200_000,
 ) -> tuple[DataFrame, DataFrame]:
     """``(summary, matches)``.
 
@@ -129,11 +131,13 @@ def decontaminate(
     start = F.col("_pos") - F.col("_o")
     inside = (start >= 0) & (start + F.col("_len") <= F.col("_n"))
     found = places.join(prefix, (F.col("_h") == F.col("_t")) & inside).select("_row", start.alias("start"), "key", "words")
-    found = found.groupBy("_row").agg(F.collect_set(F.struct("start", "key", "words")).alias("_found"))
-    texts = with_words(rows.join(found.withColumnRenamed("_row", "_crow"), F.col("_row") == F.col("_crow")), "_text", "_words")
+    found = staged(found.distinct(), "window-candidates")
+    few = found.count() <= sent_candidates
+    found = found.groupBy(F.col("_row").alias("_crow")).agg(F.collect_list(F.struct("start", "key", "words")).alias("_found"))
+    near = rows.join(F.broadcast(found) if few else found, F.col("_row") == F.col("_crow"))
     same = F.filter("_found", lambda c: F.slice("_words", c["start"] + 1, F.size(c["words"])) == c["words"])
-    verified = texts.select("_row", F.col("_id").alias("id"), same.alias("_same")).filter(F.size("_same") > 0)
-    each = verified.select("_row", "id", F.explode("_same").alias("m"))
+    # The outer form again: a filter on the matches would be copied below the splitting and split the text once per candidate.
+    each = with_words(near, "_text", "_words").select("_row", F.col("_id").alias("id"), F.explode_outer(same).alias("m")).filter("m IS NOT NULL")
     matches = staged(each.select("_row", "id", "m.start", F.size("m.words").alias("length"), "m.key"), "window-matches")
 
     spans = matches.select("_row", "start", "length").distinct()
