@@ -1,13 +1,13 @@
 """License notices in texts: exact phrases, and fuzzy search of short notices.
 
-A notice of ``m`` characters may differ in k = m // ``per_error`` edits. It is cut into k + 1 pieces: by the
-pigeonhole principle at least one stands unchanged in any place the notice matches. One automaton finds all
-pieces of all notices in a normalised text (A-Z lower-cased words, one blank between); around each hit the ``regex``
-library verifies the whole notice with at most k edits and gives its span. Texts without any piece, most of them, cost one
-pass of the automaton. Row by row, whole texts, no shuffle.
+A notice of ``m`` characters may differ in k = m // ``per_error`` edits. It is cut into k + 2 pieces: by the
+pigeonhole principle at least two stand unchanged in any place the notice matches, and edits move one against the other by k at most. One
+automaton finds all pieces of all notices in a normalised text (A-Z lower-cased words, one blank between); around two different pieces
+that agree so, the ``regex`` library verifies the whole notice with at most k edits and gives its span. All other texts, most of them,
+cost one pass of the automaton. Row by row, whole texts, no shuffle.
 
 Defined results: a null or empty text has no words and no labels. A match has to begin and end at word borders.
-Overlapping hits of one notice are merged to the best. Ties and equal rows get equal results; an empty table gives an
+Of overlapping matches of one notice the best stays; what lies before and behind it is searched on. Ties and equal rows get equal results; an empty table gives an
 empty result; further columns are ignored.
 """
 
@@ -41,7 +41,7 @@ NOTICES = {
 }
 # Everything but ASCII letters, digits and bytes of other characters is a separator.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-SPAN = "array<struct<label:string,start:bigint,end:bigint,errors:int>>"
+SPAN = "array<struct<label:string,start:bigint,end:bigint,errors:int,length:int>>"
 SCHEMA = f"id string, n_words bigint, base array<struct<label:string,word:bigint>>, spans {SPAN}"
 
 
@@ -53,38 +53,62 @@ class Notices:
         self.rules, seeds = [], {}
         for n, (text, label) in enumerate(notices.items()):
             errors = len(text) // per_error
-            cuts = [len(text) * i // (errors + 1) for i in range(errors + 2)]
+            cuts = [len(text) * i // (errors + 2) for i in range(errors + 3)]
             pattern = regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(text)}){{e<={errors}}}(?![^ ])")
             self.rules.append((text, label, errors, pattern))
             for a, b in zip(cuts, cuts[1:]):
-                seeds.setdefault(text[a:b], []).append((n, a))
+                if a < b:  # a notice shorter than its pieces is searched for in any text
+                    seeds.setdefault(text[a:b], []).append((n, a))
         self.automaton = ahocorasick.Automaton()
         for seed, at in seeds.items():
             self.automaton.add_word(seed, (len(seed), at))
         if seeds:
             self.automaton.make_automaton()
 
-    def spans(self, text: str) -> list[tuple[str, int, int, int]]:
-        """``(label, start, end, errors)`` in characters of the normalised text, one per place."""
-        near: dict[int, list[list[int]]] = {}
+    def spans(self, text: str) -> list[tuple[str, int, int, int, int]]:
+        """``(label, start, end, errors, length)`` in characters of the normalised text, one per place."""
+        hits: dict[int, list[tuple[int, int]]] = {}
         for end, (size, at) in self.automaton.iter(text) if self.rules else ():
             for n, offset in at:
-                rule, errors = self.rules[n][0], self.rules[n][2]
-                begin = end - size + 1 - offset
-                low, high = begin - errors - 1, begin + len(rule) + errors + 1
-                lists = near.setdefault(n, [])
-                if lists and low <= lists[-1][1]:
-                    lists[-1] = [min(low, lists[-1][0]), max(high, lists[-1][1])]
-                else:
-                    lists.append([low, high])
+                hits.setdefault(n, []).append((end - size + 1 - offset, offset))
         found = []
-        for n, places in near.items():
-            _, label, _, pattern = self.rules[n]
-            for low, high in places:
-                for m in pattern.finditer(text, max(0, low), min(len(text), max(high, 0))):
-                    found.append((label, m.start(), m.end(), sum(m.fuzzy_counts)))
+        for n, places in hits.items():
+            if len(places) < 2:
+                continue
+            rule, label, errors, pattern = self.rules[n]
+            for low, high in self._regions(sorted(places), errors, len(rule)):
+                low, high = max(0, low - errors - 1), min(len(text), high + len(rule) + errors + 1)
+                found += [(label, m.start(), m.end(), sum(m.fuzzy_counts), len(rule)) for m in _best(pattern, text, low, high, len(rule) - errors)]
         return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
+    @staticmethod
+    def _regions(places: list[tuple[int, int]], errors: int, size: int) -> list[list[int]]:
+        """Ranges of starts the notice would have where two different pieces agree within the errors."""
+        regions: list[list[int]] = []
+        first = 0
+        for i, (begin, offset) in enumerate(places):
+            while begin - places[first][0] > errors:
+                first += 1
+            if any(other != offset for _, other in places[first:i]):
+                low = places[first][0]
+                if regions and low - errors - 1 <= regions[-1][1] + size + errors + 1:
+                    regions[-1][1] = begin
+                else:
+                    regions.append([low, begin])
+        return regions
+
+
+def _best(pattern, text: str, low: int, high: int, least: int) -> list:
+    """The best match of a range, and those of what lies before and behind it."""
+    out, todo = [], [(low, high)]
+    while todo:
+        a, b = todo.pop()
+        match = pattern.search(text, a, b) if b - a >= least else None
+        if match:
+            out.append(match)
+            todo += [(a, match.start() - 1), (match.end(), b)]
+    return out
+
 
 @lru_cache(maxsize=4)
 def _notices(items: tuple[tuple[str, str], ...], per_error: int) -> Notices:
@@ -121,13 +145,15 @@ def _scan(phrases: dict[str, str], notices: dict[str, str], per_error: int):
                 text = flat.decode("utf-8", "replace")
                 base = phrase_places(text.split(" "), some) if some else []
                 spans = []
-                for label, a, b, errors in find.spans(text):
-                    first = text.count(" ", 0, a)
-                    spans.append({"label": label, "start": first, "end": first + text.count(" ", a, b) + 1, "errors": errors})
+                seen = first = 0
+                for label, a, b, errors, length in find.spans(text):
+                    first, seen = first + text.count(" ", seen, a), a
+                    end = first + text.count(" ", a, b) + 1
+                    spans.append({"label": label, "start": first, "end": end, "errors": errors, "length": length})
                 rows.append((i, len(words), [{"label": x, "word": w} for x, w in base], spans))
             kinds = (
                 pa.string(), pa.int64(), pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())])),
-                pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("errors", pa.int32())])),
+                pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("errors", pa.int32()), ("length", pa.int32())])),
             )
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["id", "n_words", "base", "spans"])
 
@@ -143,7 +169,7 @@ def license_scan(
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text"))
     found = rows.mapInArrow(_scan(phrases, notices, per_error), SCHEMA).withColumn("id", F.col("id").cast(kind))
-    best = F.array_max(F.transform("spans", lambda s: 1 - s["errors"] / (6.0 * (s["end"] - s["start"]) + s["errors"])))
+    best = F.array_max(F.transform("spans", lambda s: 1 - s["errors"] / s["length"].cast("double")))
     score = F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(best, F.lit(0.0)))
     return found.withColumn("score", score)
 

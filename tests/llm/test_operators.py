@@ -206,6 +206,14 @@ def test_license_phrases_and_edits(spark):
     assert (span["label"], span["start"], span["end"], span["errors"]) == ("mit", 0, 13, 2) and 0.9 < rows[3]["score"] < 1
 
 
+def test_license_places_close_together():
+    find = license_scan.Notices({"all rights reserved": "own"}, 8)
+    text = "all rigts reservd xx all rights reserved yy all rights reserved all rights resrved"
+    assert [(text[a:b], errors) for _, a, b, errors, _ in find.spans(text)] == [
+        ("all rigts reservd", 2), ("all rights reserved", 0), ("all rights reserved", 0), ("all rights resrved", 1),
+    ]
+
+
 def test_license_seeds_lose_no_match():
     import regex
 
