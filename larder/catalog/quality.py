@@ -11,7 +11,7 @@ from larder.functions import values as V
 from larder.operators import outliers as O
 from larder.operators import reports as R
 from larder.plans.exploitation import document_entries, metadata_text
-from larder.plans.trusted import nutrition_columns, trust_documents
+from larder.plans.trusted import dry_run_documents, nutrition_columns, trust_documents
 from larder.session import staged, staging_path
 
 
@@ -172,12 +172,31 @@ _PARTS = ("title", "ingredients", "instructions")
 
 
 def document_report(spark: SparkSession, folder: str) -> DataFrame:
-    return _trusted(spark, folder)["report"].drop("iqr_thresholds")
+    return _with_thresholds(_trusted(spark, folder)["report"])
+
+
+def _with_thresholds(report: DataFrame) -> DataFrame:
+    """The thresholds of the two fields with numbers as columns; the other four fields have none."""
+    bounds = F.from_json("iqr_thresholds", "map<string,double>")
+    named = {f"{c}_{x}": F.round(bounds[f"{c}_{x}"], 6) for c in ("energy", "fat") for x in ("q1", "q3", "lo", "hi")}
+    return report.withColumns(named | {"n_thresholds": F.size(bounds)}).drop("iqr_thresholds")
+
+
+def trusted_dry_run(spark: SparkSession, folder: str) -> DataFrame:
+    """What the trusted stage would keep and drop, with three unreadable records counted, without storing anything."""
+    bad = B.table(spark, folder, "region").limit(3)
+    counts = dry_run_documents(merged_documents(spark, folder), _ids(spark, folder), require_nutrition=True, malformed=bad)
+    return _with_thresholds(counts)
 
 
 _MEANS = ", ".join(
     f"round(avg({B.sql_tokens(f'{p}_{f}')}) FILTER (kept), 6) AS tokens_{p}_text_{f}" for p in _PARTS for f in ("raw", "clean")
 )
+_THRESHOLDS = ", ".join(
+    f"any_value(round({e}, 6)) AS {c}_{x}"
+    for c, k in (("energy", "a"), ("fat", "b"))
+    for x, e in (("q1", f"{k}1"), ("q3", f"{k}3"), ("lo", f"{k}1 - 1.5 * ({k}3 - {k}1)"), ("hi", f"{k}3 + 1.5 * ({k}3 - {k}1)"))
+) + ", 8 AS n_thresholds"
 DOCUMENT_REPORT = f"""
 WITH {_RAW}, g AS (SELECT *, has_image AND NOT outlier AS kept FROM f)
 SELECT count(*) AS total_doc_count, CAST(0 AS BIGINT) AS malformed_doc_count, count(*) FILTER (kept) AS kept_after_id,
@@ -185,8 +204,18 @@ SELECT count(*) AS total_doc_count, CAST(0 AS BIGINT) AS malformed_doc_count, co
        count(*) FILTER (has_image AND outlier) AS dropped_outliers,
        count(*) FILTER (kept AND has_totals AND has_parts) AS nutrition_totals_dropped,
        printf('%.2f%%', count(*) FILTER (kept) * 100.0::DOUBLE / count(*)) AS filtering_rate, {_MEANS},
-       count(*) FILTER (has_image) AS unique_ids_with_images
-FROM g
+       count(*) FILTER (has_image) AS unique_ids_with_images, {_THRESHOLDS}
+FROM g, q
+"""
+TRUSTED_DRY_RUN = f"""
+WITH {_RAW}, g AS (SELECT *, has_image AND NOT (has_totals OR has_parts) AS missing FROM f),
+h AS (SELECT *, has_image AND NOT missing AND NOT outlier AS kept FROM g)
+SELECT count(*) + 3 AS total_doc_count, CAST(3 AS BIGINT) AS malformed_doc_count, count(*) FILTER (kept) AS kept_after_id,
+       count(*) FILTER (kept) AS written_doc_count, count(*) FILTER (missing) AS dropped_missing_nutrition,
+       count(*) FILTER (has_image AND NOT missing AND outlier) AS dropped_outliers,
+       count(*) FILTER (kept AND has_totals AND has_parts) AS nutrition_totals_dropped,
+       printf('%.2f%%', count(*) FILTER (kept) * 100.0::DOUBLE / (count(*) + 3)) AS filtering_rate, {_THRESHOLDS}
+FROM h, q
 """
 
 
@@ -282,6 +311,7 @@ QUERIES = {
     "nutrition_flags": nutrition_flags,
     "trusted_documents": trusted_documents,
     "document_report": document_report,
+    "trusted_dry_run": trusted_dry_run,
     "text_entries": text_entries,
     "entry_metadata": entry_metadata,
     "run_metrics": run_metrics,
@@ -299,6 +329,7 @@ SQL = {
     "nutrition_flags": NUTRITION_FLAGS,
     "trusted_documents": TRUSTED_DOCUMENTS,
     "document_report": DOCUMENT_REPORT,
+    "trusted_dry_run": TRUSTED_DRY_RUN,
     "text_entries": TEXT_ENTRIES,
     "entry_metadata": ENTRY_METADATA,
     "run_metrics": f"""

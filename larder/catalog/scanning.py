@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from larder.catalog import base as B
 from larder.operators import merge as M
+from larder.operators.landing import ingest_cap
 from larder.plans.exploitation import ingest_documents
 from larder.session import staged, staging_path
-from larder.sources import scan, sinks
+from larder.sources import objects, scan, sinks, versions
 
 FORMS = {"arrays": {"files": "*.txt", "lines": "*.none"}, "lines": {"lines": "*.txt", "files": "*.none"}, "zipped": {"lines": "*.txt.gz", "files": "*.none"}}
 
@@ -129,5 +130,66 @@ f AS (SELECT id, n, 'role__from_t' AS base, role AS value FROM t UNION ALL SELEC
 SELECT id, (n - 1) // 2 AS part, base || CASE WHEN n > 1 THEN '_' || n ELSE '' END AS name, value FROM f
 """
 
-QUERIES = {"scan_array": scan_array, "scan_quarantine": scan_quarantine, "ingest_counters": ingest_counters, "stored_records": stored_records}
-SQL = {"scan_array": SCAN_ARRAY, "scan_quarantine": SCAN_QUARANTINE, "ingest_counters": INGEST_COUNTERS, "stored_records": STORED_RECORDS}
+def object_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as objects under computed keys, read back; short ones are there before and stay."""
+    docs = B.table(spark, folder, "documents")
+    key = F.concat_ws("/", "lang", "source", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    rows = docs.select(key.alias("key"), F.encode("text", "UTF-8").alias("content"), F.length("text").alias("n"))
+    path = staging_path(spark, "objects")
+    objects.write_objects(rows.filter("n < 200").select("key", F.lit(b"there").alias("content")), path)
+    objects.write_objects(rows, path, overwrite=False)
+    return objects.stored_objects(spark, path).select("key", "length", F.md5("content").alias("content_md5"))
+
+
+OBJECT_SINK = """
+SELECT lang || '/' || source || '/doc_' || doc_id || '.txt' AS key, CASE WHEN length(text) < 200 THEN 5 ELSE strlen(text) END AS length,
+       CASE WHEN length(text) < 200 THEN md5('there') ELSE md5(text) END AS content_md5 FROM documents
+"""
+
+
+def collection_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries of every version of a collection: two types written, one replaced, one dropped, one emptied."""
+    docs = B.table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("type"), "source", "n_chars")
+    path = staging_path(spark, "collection")
+    versions.upsert(docs.filter("type IN ('en', 'fr')").drop("n_chars"), path)
+    versions.upsert(docs.filter("type = 'fr' AND n_chars > 1000"), path, "fr")
+    versions.upsert(docs.filter("type = 'de'"), path)
+    versions.drop_type(spark, path, "en")
+    versions.upsert(docs.filter("type = 'none'"), path, "fr")
+    out = None
+    for n in versions.versions(spark, path):
+        rows = versions.read_version(spark, path, n)
+        if "n_chars" not in rows.columns:
+            rows = rows.withColumn("n_chars", F.lit(None).cast("bigint"))
+        rows = rows.select(F.lit(n).alias("version"), "id", "type", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+COLLECTION_VERSIONS = """
+WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, lang AS type, source, CAST(n_chars AS BIGINT) AS n_chars FROM documents),
+first AS (SELECT id, type, source, CAST(NULL AS BIGINT) AS n_chars FROM d WHERE type IN ('en', 'fr')),
+second AS (SELECT * FROM first WHERE type = 'en' UNION ALL SELECT * FROM d WHERE type = 'fr' AND n_chars > 1000),
+third AS (SELECT * FROM second UNION ALL SELECT * FROM d WHERE type = 'de')
+SELECT 1 AS version, * FROM first UNION ALL SELECT 2, * FROM second UNION ALL SELECT 3, * FROM third
+UNION ALL SELECT 4, * FROM third WHERE type <> 'en' UNION ALL SELECT 5, * FROM third WHERE type = 'de'
+"""
+
+
+def image_cap(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in order until three quarters of all labels are met, in the order of their sizes; the cap is the feature."""
+    labels = B.table(spark, folder, "labels")
+    docs = B.table(spark, folder, "documents").join(labels.select("doc_id", F.lit(1).alias("ok")), "doc_id", "left")
+    order = F.col("n_chars").cast("bigint") * 1_000_000_000 + F.col("doc_id")
+    rows = docs.select("doc_id", order.alias("place"), F.coalesce("ok", F.lit(0)).alias("ok"))
+    return ingest_cap(rows, "place", "ok", None, labels.count() * 3 // 4).select("doc_id", "ok")
+
+
+IMAGE_CAP = """
+WITH d AS (SELECT doc_id, n_chars, (l.doc_id IS NOT NULL)::INT AS ok FROM documents LEFT JOIN (SELECT doc_id FROM labels) l USING (doc_id)),
+s AS (SELECT *, sum(ok) OVER (ORDER BY n_chars, doc_id) - ok AS before FROM d)
+SELECT doc_id, ok FROM s WHERE before < (SELECT count(*) * 3 // 4 FROM labels)
+"""
+
+QUERIES = {"object_sink": object_sink, "collection_versions": collection_versions, "image_cap": image_cap, "scan_array": scan_array, "scan_quarantine": scan_quarantine, "ingest_counters": ingest_counters, "stored_records": stored_records}
+SQL = {"object_sink": OBJECT_SINK, "collection_versions": COLLECTION_VERSIONS, "image_cap": IMAGE_CAP, "scan_array": SCAN_ARRAY, "scan_quarantine": SCAN_QUARANTINE, "ingest_counters": INGEST_COUNTERS, "stored_records": STORED_RECORDS}

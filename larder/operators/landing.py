@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import keys as K
+from larder.operators.ranking import weighted_cut
 
 # Repository housekeeping files that are never landed.
 SKIP_FILES = (".gitattributes", ".gitignore", ".gitkeep")
@@ -112,26 +113,20 @@ def ingest_cap(
 ) -> DataFrame:
     """Leading recipes up to and including the one that reaches a cap.
 
-    The cap is the operator's purpose; None lifts one. An image cap without a recipe cap lets no recipe
-    behind the first ``max_images`` with images through, so the window runs over no more than those. With fewer
-    images in all than the cap every recipe stays.
+    The cap is the operator's purpose; None lifts one. With fewer recipes or images in all than the cap every recipe stays. The
+    value of ``order`` at which a cap is reached comes from sums over ordered ranges, so no window runs over all recipes.
     """
-    head = recipes
-    if max_recipes is not None:
-        head = recipes.orderBy(order).limit(max_recipes)
-    if max_images is None:
-        return head
-    if max_recipes is None:
-        leading = recipes.filter(F.col(ok) > 0).orderBy(order).limit(max(max_images, 1))
-        last, images = leading.agg(F.max(order), F.sum(ok)).first()
-        if last is not None and images < max_images:
-            return recipes
-        head = recipes if last is None else recipes.filter(F.col(order) <= last)
-        if last is None:
-            return head if max_images > 0 else head.limit(0)
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = head.withColumn("_before", F.coalesce(F.sum(ok).over(before), F.lit(0)))
-    return counted.filter(F.col("_before") < max_images).drop("_before")
+    caps = [(F.lit(1), max_recipes), (F.greatest(F.col(ok), F.lit(0)), max_images)]
+    kept = recipes
+    for weight, cap in caps:
+        if cap is None:
+            continue
+        if cap <= 0:
+            return recipes.limit(0)
+        last = weighted_cut(kept.select(order, ok), order, weight, cap)
+        if last is not None:
+            kept = kept.filter(F.col(order) <= F.lit(last))
+    return kept
 
 
 def recipe_index(objects: DataFrame) -> DataFrame:

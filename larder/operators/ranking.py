@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.session import checkpointed
+from larder.session import checkpointed, staged, staging_path
 
 
 def chunk_of(order: Column | str, width: int = 65_536) -> Column:
@@ -77,3 +77,26 @@ def keys_per_id(
         .groupBy("id", "part")
         .agg(F.sort_array(F.collect_list("key")).alias("keys"))
     )
+
+
+def weighted_cut(rows: DataFrame, order: str, weight: Column, cap: int, width: int = 1_000_000):
+    """Smallest ``order`` value up to which the weights add up to ``cap`` or more; None when they never do.
+
+    Weights are summed per value and stored in ordered ranges of about ``width`` values. The sums of the ranges tell in which one the
+    cap is reached, and only that range is read again.
+    """
+    spark = rows.sparkSession
+    sums = staged(rows.groupBy(order).agg(F.sum(weight).alias("_w")).filter(F.col(order).isNotNull()), "order-weights")
+    ranges = max(1, -(-sums.count() // width))
+    path = staging_path(spark, "order-ranges")
+    sums.repartitionByRange(ranges, order).withColumn("_range", F.spark_partition_id()).write.partitionBy("_range").parquet(path)
+    ranged = spark.read.parquet(path)
+    before = 0
+    for row in ranged.groupBy("_range").agg(F.sum("_w").alias("w")).orderBy("_range").toLocalIterator():
+        if before + row["w"] < cap:
+            before += row["w"]
+            continue
+        upto = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        reached = ranged.filter(F.col("_range") == row["_range"]).withColumn("_sum", F.sum("_w").over(upto))
+        return reached.filter(F.col("_sum") >= cap - before).agg(F.min(order)).first()[0]
+    return None

@@ -29,23 +29,18 @@ def token_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.coalesce(F.avg(token_len(c)), F.lit(0.0)).alias(c) for c in columns])
 
 
-def document_report(
-    flags: DataFrame, kept: DataFrame, token_columns: Sequence[str], bounds: DataFrame, ids: DataFrame
-) -> DataFrame:
-    """One row on a document stage.
+def record_counts(flags: DataFrame) -> DataFrame:
+    """One row of counts over the records of a document stage.
 
     ``flags`` has one narrow row per record read (``malformed, has_image, missing_nutrition, outlier,
-    totals_dropped``), ``kept`` the records that stayed with their texts. A record is kept when it is well
-    formed, has an image, lacks no required nutrition data and is no outlier; the count after the id test is
-    taken behind the outlier filter. A record that lacks nutrition data is not counted as an outlier.
+    totals_dropped``). A record is kept when it is well formed, has an image, lacks no required nutrition data and is no
+    outlier; the count after the id test is taken behind the outlier filter. A record that lacks nutrition data is not counted
+    as an outlier.
     """
     imaged = ~F.col("malformed") & F.col("has_image")
     candidate = imaged & ~F.col("missing_nutrition")
     stays = F.coalesce(candidate & ~F.col("outlier"), F.lit(False))
     total, written = F.count(F.lit(1)), F.count_if(stays)
-    means = token_means(kept, token_columns).select(
-        F.struct(*[F.round(c, 6).alias(c) for c in token_columns])
-    ).scalar()
     return flags.agg(
         total.alias("total_doc_count"),
         F.count_if("malformed").alias("malformed_doc_count"),
@@ -55,7 +50,17 @@ def document_report(
         F.count_if(candidate & F.col("outlier")).alias("dropped_outliers"),
         F.count_if(stays & F.col("totals_dropped")).alias("nutrition_totals_dropped"),
         percent(written, total).alias("filtering_rate"),
-    ).select(
+    )
+
+
+def document_report(
+    flags: DataFrame, kept: DataFrame, token_columns: Sequence[str], bounds: DataFrame, ids: DataFrame
+) -> DataFrame:
+    """One row on a document stage: ``record_counts``, and the mean token counts of the records ``kept`` with their texts."""
+    means = token_means(kept, token_columns).select(
+        F.struct(*[F.round(c, 6).alias(c) for c in token_columns])
+    ).scalar()
+    return record_counts(flags).select(
         "*",
         *[means[c].alias(f"tokens_{c}") for c in token_columns],
         bounds.select(F.to_json(F.struct("*"))).scalar().alias("iqr_thresholds"),

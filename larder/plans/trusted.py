@@ -14,7 +14,7 @@ from larder.functions import values as V
 from larder.operators import outliers as O
 from larder.operators.joins import semi_join
 from larder.operators.ranking import keys_per_id
-from larder.operators.reports import document_report
+from larder.operators.reports import document_report, record_counts
 from larder.plans.formatted import screen_and_box
 from larder.session import staged
 from larder.sources import sinks
@@ -122,6 +122,49 @@ def text_columns(df: DataFrame, sources: TextSources = TextSources()) -> DataFra
     )
 
 
+def judged_records(merged: DataFrame, ids: DataFrame, names: NutritionFields) -> DataFrame:
+    """One narrow row per record: its nutrition flags and numbers, and whether it has an image."""
+    marks = ids.select("id").distinct().withColumn("has_image", F.lit(True))
+    rows = nutrition_columns(merged.filter(F.col("part") == 0), names).select("id", *JUDGED).join(marks, "id", "left")
+    return rows.withColumn("has_image", F.coalesce("has_image", F.lit(False)))
+
+
+def _bounds(judged: DataFrame, names: NutritionFields, method: str) -> DataFrame:
+    numbers = judged.filter("has_image").select(*[F.col("nutrition_values")[i].alias(n) for i, n in enumerate(names.numeric)])
+    bounds = O.iqr_bounds(numbers, names.numeric, method=method)
+    return judged.sparkSession.createDataFrame([bounds.first()], bounds.schema)
+
+
+def _flags(judged: DataFrame, inside: Column, missing: Column, malformed: DataFrame | None) -> DataFrame:
+    flags = judged.select(
+        "id", "has_image", F.lit(False).alias("malformed"), "totals_dropped", (~inside).alias("outlier"), missing.alias("missing_nutrition")
+    )
+    if malformed is None:
+        return flags
+    no = F.lit(False)
+    bad = malformed.select(
+        F.lit(None).cast("string").alias("id"), no.alias("has_image"), F.lit(True).alias("malformed"), no.alias("totals_dropped"),
+        no.alias("outlier"), no.alias("missing_nutrition"),
+    )
+    return flags.unionByName(bad)
+
+
+def dry_run_documents(
+    merged: DataFrame,
+    ids: DataFrame,
+    names: NutritionFields = NutritionFields(),
+    require_nutrition: bool = False,
+    method: str = "auto",
+    malformed: DataFrame | None = None,
+) -> DataFrame:
+    """The counts ``trust_documents`` would report, and the bounds as JSON: texts are neither read nor cleaned, nothing is stored."""
+    judged = judged_records(merged, ids, names)
+    bounds = _bounds(judged, names, method)
+    missing = ~F.col("has_nutrition_data") if require_nutrition else F.lit(False)
+    flags = _flags(judged, O.all_within("nutrition_values", names.numeric, bounds), missing, malformed)
+    return record_counts(flags).withColumn("iqr_thresholds", bounds.select(F.to_json(F.struct("*"))).scalar())
+
+
 def trust_documents(
     merged: DataFrame,
     ids: DataFrame,
@@ -143,12 +186,8 @@ def trust_documents(
     if ids.isEmpty():
         raise ValueError("no recipe ids with images")
     main = merged.filter(F.col("part") == 0)
-    marks = ids.select("id").distinct().withColumn("has_image", F.lit(True))
-    judged = nutrition_columns(main, names).select("id", *JUDGED).join(marks, "id", "left")
-    judged = staged(judged.withColumn("has_image", F.coalesce("has_image", F.lit(False))), "record-flags")
-    numbers = judged.filter("has_image").select(*[F.col("nutrition_values")[i].alias(n) for i, n in enumerate(names.numeric)])
-    bounds = O.iqr_bounds(numbers, names.numeric, method=method)
-    bounds = merged.sparkSession.createDataFrame([bounds.first()], bounds.schema)
+    judged = staged(judged_records(merged, ids, names), "record-flags")
+    bounds = _bounds(judged, names, method)
     missing = ~F.col("has_nutrition_data") if require_nutrition else F.lit(False)
     inside = O.all_within("nutrition_values", names.numeric, bounds)
     stays = judged.filter(F.col("has_image") & inside & ~missing).drop("has_image", "nutrition_values")
@@ -164,16 +203,7 @@ def trust_documents(
         whole.write.mode("overwrite").parquet(f"{out}/documents")
         whole = merged.sparkSession.read.parquet(f"{out}/documents")
 
-    flags = judged.select(
-        "id", "has_image", F.lit(False).alias("malformed"), "totals_dropped", (~inside).alias("outlier"), missing.alias("missing_nutrition")
-    )
-    if malformed is not None:
-        no = F.lit(False)
-        bad = malformed.select(
-            F.lit(None).cast("string").alias("id"), no.alias("has_image"), F.lit(True).alias("malformed"), no.alias("totals_dropped"),
-            no.alias("outlier"), no.alias("missing_nutrition"),
-        )
-        flags = flags.unionByName(bad)
+    flags = _flags(judged, inside, missing, malformed)
     kept = whole.filter(F.col("part") == 0)
     report = document_report(flags, kept, TEXT_COLUMNS, bounds, ids)
     if out is not None:
