@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from larder.catalog import base as B
 from larder.functions import prompts as P
 from larder.functions import vectors as X
+from larder.operators import ivf
 from larder.operators import knn as N
 from larder.operators import rag as R
 from larder.operators import search as S
 from larder.operators.embed import hash_embed
 from larder.plans.tasks import demo_results, multimodal_search
+from larder.session import staging_path
 
 DIM = 64
 TIMESTAMP = "2024-01-01T00-00-00Z"
@@ -51,6 +53,27 @@ def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
     return _out(N.knn_approx(_queries(spark, folder), _entries(spark, folder), 5))
 
 
+def _index(spark: SparkSession, folder: str) -> tuple[str, int]:
+    path = staging_path(spark, "vector-index")
+    return path, ivf.build_index(_entries(spark, folder), path)
+
+
+def knn_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Five nearest vectors of every vector from a stored index, all lists being probed."""
+    path, lists = _index(spark, folder)
+    return _out(ivf.search_index(spark, path, _queries(spark, folder), 5, lists))
+
+
+def knn_index_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of the exact result the probed lists of a stored index give, every vector being a query."""
+    path, lists = _index(spark, folder)
+    near = ivf.search_index(spark, path, _queries(spark, folder), 5, max(8, lists // 2)).select("query_id", "id")
+    exact = N.knn(_queries(spark, folder), _entries(spark, folder), 5).select("query_id", "id")
+    both = near.intersect(exact).agg(F.count(F.lit(1)).alias("both"))
+    total = exact.agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("query_id").alias("n_queries"))
+    return total.select("n_queries", "pairs", (both.scalar() >= 0.9 * F.col("pairs")).alias("recall_of_90_percent"))
+
+
 SQL_VECTORS = """
 v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, CASE WHEN label % 2 = 0 THEN 'image' ELSE 'text' END AS type
       FROM embeddings)
@@ -286,6 +309,8 @@ QUERIES = {
     "knn_blocks": knn_blocks,
     "knn_by_type": knn_by_type,
     "knn_approx": knn_approx,
+    "knn_index": knn_index,
+    "knn_index_recall": knn_index_recall,
     "normalized_vectors": normalized_vectors,
     "distances": distances,
     "hash_vectors": hash_vectors,
@@ -302,6 +327,10 @@ QUERIES = {
 SQL = {
     "knn": KNN,
     "knn_blocks": KNN,
+    "knn_index": KNN,
+    "knn_index_recall": """
+        SELECT count(*) AS n_queries, CAST(sum(least(5, (SELECT count(*) FROM embeddings))) AS BIGINT) AS pairs, true AS recall_of_90_percent
+        FROM embeddings""",
     "knn_by_type": f"""
         WITH {SQL_VECTORS}, c AS (SELECT * FROM v WHERE type = 'image'), {_sql_knn("v", "c", 3, ", c.type")}
         {SQL_OUT}, type FROM hits""",

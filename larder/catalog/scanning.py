@@ -9,8 +9,10 @@ from larder.catalog import base as B
 from larder.operators import merge as M
 from larder.operators.landing import ingest_cap
 from larder.plans.exploitation import ingest_documents
+from larder.plans.landing import land_move
 from larder.session import staged, staging_path
 from larder.sources import objects, scan, sinks, versions
+from larder.streaming.landing import land_stream
 
 FORMS = {"arrays": {"files": "*.txt", "lines": "*.none"}, "lines": {"lines": "*.txt", "files": "*.none"}, "zipped": {"lines": "*.txt.gz", "files": "*.none"}}
 
@@ -191,5 +193,53 @@ s AS (SELECT *, sum(ok) OVER (ORDER BY n_chars, doc_id) - ok AS before FROM d)
 SELECT doc_id, ok FROM s WHERE before < (SELECT count(*) * 3 // 4 FROM labels)
 """
 
-QUERIES = {"object_sink": object_sink, "collection_versions": collection_versions, "image_cap": image_cap, "scan_array": scan_array, "scan_quarantine": scan_quarantine, "ingest_counters": ingest_counters, "stored_records": stored_records}
-SQL = {"object_sink": OBJECT_SINK, "collection_versions": COLLECTION_VERSIONS, "image_cap": IMAGE_CAP, "scan_array": SCAN_ARRAY, "scan_quarantine": SCAN_QUARANTINE, "ingest_counters": INGEST_COUNTERS, "stored_records": STORED_RECORDS}
+_SUFFIXES = (".json", ".JPEG", ".png", ".jsonl", ".tar")
+
+
+def _as_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = B.table(spark, folder, "documents").filter("text <> ''")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in _SUFFIXES]), F.pmod("doc_id", F.lit(5)).cast("int") + 1)
+    key = F.concat(F.col("lang"), F.lit("/"), F.col("source"), F.lit("_"), F.col("doc_id").cast("string"), suffix)
+    return docs.select("doc_id", key.alias("key"), F.encode("text", "UTF-8").alias("content"))
+
+
+def landed_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Files landed by a stream that is started twice: half are delivered again in another folder, some of these with a new content."""
+    files = _as_files(spark, folder)
+    source, out, checkpoint = (staging_path(spark, n) for n in ("landing", "landed", "landing-state"))
+    objects.write_objects(files.select("key", "content"), source)
+    land_stream(spark, source, checkpoint, out, "docs").awaitTermination()
+    changed = F.when(F.pmod("doc_id", F.lit(8)) == 0, F.concat(F.encode(F.lit("new "), "UTF-8"), "content")).otherwise(F.col("content"))
+    objects.write_objects(files.filter("doc_id % 2 = 0").select(F.concat(F.lit("again/"), "key").alias("key"), changed.alias("content")), source)
+    land_stream(spark, source, checkpoint, out, "docs").awaitTermination()
+    landed = spark.read.parquet(out)
+    return landed.select("class", F.regexp_replace("dst_key", r"\$\d{4}-[^$]*Z\$", r"\$").alias("target"), F.md5("content").alias("content_md5"), "length")
+
+
+_LANDED = """
+f AS (SELECT doc_id, text, ['json', 'jpg', 'png', 'jsonl'][doc_id % 5 + 1] AS ext, source || '_' || doc_id AS name,
+    CASE WHEN doc_id % 5 IN (1, 2) THEN 'image' ELSE 'document' END AS class FROM documents WHERE text <> '' AND doc_id % 5 < 4),
+"""
+LANDED_ONCE = f"""
+WITH {_LANDED} all_ AS (SELECT *, text AS t FROM f UNION ALL SELECT *, 'new ' || text FROM f WHERE doc_id % 8 = 0)
+SELECT class, 'persistent_landing/' || class || 's/' || class || '$docs$' || name || '.' || ext AS target, md5(t) AS content_md5, strlen(t) AS length FROM all_
+"""
+
+
+def moved_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """Batch landing: objects under their target keys, and what stayed at the source."""
+    source, out = staging_path(spark, "landing"), staging_path(spark, "landed")
+    objects.write_objects(_as_files(spark, folder).select("key", "content"), source)
+    land_move(spark, source, out, "docs", "2024-01-01T00-00-00Z")
+    rows = [objects.stored_objects(spark, p).select(F.lit(n).alias("place"), "key", F.md5("content").alias("content_md5")) for n, p in (("source", source), ("target", out))]
+    return rows[0].unionByName(rows[1])
+
+
+MOVED_OBJECTS = f"""
+WITH {_LANDED} kept AS (SELECT * FROM documents WHERE text <> '' AND doc_id % 5 = 4)
+SELECT 'target' AS place, 'persistent_landing/' || class || 's/' || class || '$docs$2024-01-01T00-00-00Z$' || name || '.' || ext AS key, md5(text) AS content_md5 FROM f
+UNION ALL SELECT 'source', lang || '/' || source || '_' || doc_id || '.tar', md5(text) FROM kept
+"""
+
+QUERIES = {"landed_once": landed_once, "moved_objects": moved_objects, "object_sink": object_sink, "collection_versions": collection_versions, "image_cap": image_cap, "scan_array": scan_array, "scan_quarantine": scan_quarantine, "ingest_counters": ingest_counters, "stored_records": stored_records}
+SQL = {"landed_once": LANDED_ONCE, "moved_objects": MOVED_OBJECTS, "object_sink": OBJECT_SINK, "collection_versions": COLLECTION_VERSIONS, "image_cap": IMAGE_CAP, "scan_array": SCAN_ARRAY, "scan_quarantine": SCAN_QUARANTINE, "ingest_counters": INGEST_COUNTERS, "stored_records": STORED_RECORDS}

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from larder.functions.keys import utc_timestamp
 from larder.operators import landing as L
+from larder.session import staged
+from larder.sources.objects import remove_objects, stored_objects, write_objects
 
 
 def land_manifest(
@@ -39,6 +41,25 @@ def land_manifest(
     return out
 
 
+def land_move(
+    spark: SparkSession, source: str, out: str, dataset: str, timestamp: Column | str | None = None, remove: bool = True
+) -> DataFrame:
+    """Write the landed objects under their target keys below ``out``, then remove the sources of those written; returns the class counters.
+
+    The sources go after all targets are in place, so a failed run can be repeated. Skipped objects stay where they are.
+    """
+    objects = staged(stored_objects(spark, source), "landed-objects")
+    organised = L.organise(
+        objects.withColumn("content_type", F.lit(None).cast("string")), source, dataset, timestamp if timestamp is not None else utc_timestamp()
+    )
+    organised = staged(organised, "organised-objects")
+    written = write_objects(organised.filter("dst_key IS NOT NULL").select(F.col("dst_key").alias("key"), "content"), out)
+    if remove:
+        done = organised.join(written.select(F.col("key").alias("dst_key")), "dst_key", "left_semi")
+        remove_objects(done.select("key"), source)
+    return L.class_counters(organised)
+
+
 def land_organise(
     spark: SparkSession, source: str, dataset: str, timestamp: Column | str | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -111,6 +111,23 @@ def write_objects(rows: DataFrame, path: str, overwrite: bool = True, empty_key:
     return spark.read.schema("key string, bytes bigint").parquet(f"{manifest}-published")
 
 
+def remove_objects(keys: DataFrame, path: str) -> int:
+    """Delete the objects of ``keys (key)`` under ``path``, in the tasks; returns how many there were."""
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, root = _files(path)
+        for batch in batches:
+            there = [k for k in batch.column("key").to_pylist() if files.get_file_info(join(root, k)).type == fs.FileType.File]
+            for key in there:
+                files.delete_file(join(root, key))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(there)], pa.int64())})
+
+    ship_package(keys.sparkSession)
+    return keys.select("key").mapInArrow(remove, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def stored_objects(spark: SparkSession, path: str) -> DataFrame:
     """``key, length, content`` of the objects under a folder; an absent folder has none, and Spark leaves out empty objects."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from larder.functions import keys as K
 from larder.functions.keys import utc_timestamp
 from larder.operators.landing import organise
 
@@ -23,7 +24,9 @@ def land_stream(
 ) -> StreamingQuery:
     """Land files not seen before: classify, key and store them, then stop.
 
-    The checkpoint remembers what was landed. ``clean`` is ``off``, ``archive`` or ``delete``; Spark
+    The checkpoint remembers the paths read, and in a state store the name and content hash of each file: a file that is delivered again in
+    another folder with the same name and content lands once, also after a restart, and one with a new content lands anew. The state holds 32 bytes
+    and the name of every file; set a RocksDB state store for very many. ``clean`` is ``off``, ``archive`` or ``delete``; Spark
     removes a source only after a later batch has been committed.
     """
     reader = (
@@ -38,7 +41,9 @@ def land_stream(
     objects = files.select(
         F.col("path").alias("key"), F.lit(None).cast("string").alias("content_type"), "length", "content"
     )
-    landed = organise(objects, source, dataset, utc_timestamp()).filter(F.col("class") != "skip")
+    named = objects.withColumns({"_name": K.file_name("key"), "_hash": F.md5("content")})
+    once = named.dropDuplicates(["_name", "_hash"]).drop("_name", "_hash")
+    landed = organise(once, source, dataset, utc_timestamp()).filter(F.col("class") != "skip")
     return (
         landed.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.operators.ranking import weighted_cut
+from larder.plans.landing import land_move
 from larder.plans.trusted import dry_run_documents, trust_documents
 from larder.sources import objects, versions
+from larder.streaming.landing import land_stream
 
 
 def files_under(path):
@@ -139,3 +141,30 @@ def test_dry_run_counts_equal_the_run(spark):
         dry = dry_run_documents(merged, image_ids, require_nutrition=need, malformed=bad).first().asDict()
         run = trust_documents(merged, image_ids, require_nutrition=need, malformed=bad)["report"].first().asDict()
         assert dry == {c: run[c] for c in dry}
+
+
+def test_a_file_delivered_again_lands_once_across_restarts(spark, tmp_path):
+    src, run = tmp_path / "src", lambda: land_stream(spark, str(src), str(tmp_path / "cp"), str(tmp_path / "out"), "ds").awaitTermination()
+    src.mkdir()
+    for name in ("a.json", "b.png", "c.tar"):
+        (src / name).write_text(name)
+    run()
+    for folder in ("again", "and again"):
+        (src / folder).mkdir()
+        for name, text in (("a.json", "a.json"), ("b.png", "changed"), ("d.json", "d")):
+            (src / folder / name).write_text(text)
+        run()
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(bytes(r["content"]).decode() for r in rows.collect()) == ["a.json", "b.png", "changed", "d"]
+
+
+def test_sources_go_once_their_targets_are_there(spark, tmp_path):
+    src, out = tmp_path / "src", tmp_path / "out"
+    (src / "x").mkdir(parents=True)
+    for name in ("x/a.json", "x/b.png", "c.tar"):
+        (src / name).write_text(name)
+    kept = land_move(spark, str(src), str(out), "ds", "t", remove=False).first()
+    assert len(files_under(out)) == 2 and len(files_under(src)) == 3 and tuple(kept) == (3, 1, 1, 1)
+    land_move(spark, str(src), str(out), "ds", "t")
+    assert files_under(src) == ["c.tar"] and len(files_under(out)) == 2
+    assert land_move(spark, str(src), str(out), "ds", "t").first()["skipped_files"] == 1
