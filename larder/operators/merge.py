@@ -50,6 +50,73 @@ def _root(field: Column) -> Column:
     return F.substring_index(field, "__from_", 1)
 
 
+# Names that look generated: a base name and a number from 2 on.
+GENERATED = r"^(.*)_([2-9]|[1-9][0-9]{1,17})$"
+
+
+def _free_numbers(rows: DataFrame) -> DataFrame:
+    """``id, *ARRIVAL, field, name, n`` of rows whose base names may look like generated ones, first come first served.
+
+    The first arrival of a base claims it as its name; the others queue for the numbers of the base from 2 on. A base called ``b_k`` and the
+    queue of ``b`` compete for one name. Going up in ``k``, the base has it if fewer of the queue came before than there are free
+    numbers below ``k``; then the queue leaves this number out. So the m-th of a queue finds its number by binary search among the numbers left
+    out. A base that loses its name queues itself, which only longer names can notice: the rounds end when no verdict changes. Counts
+    before a claim are sums per split and a count inside one split, so no queue is gathered.
+    """
+    spark = rows.sparkSession
+    arrival = F.struct(*ARRIVAL, "field")
+    rows = staged(rows.select("id", "base", "field", *ARRIVAL, arrival.alias("t")), "clashing-fields")
+    firsts = rows.groupBy("id", "base").agg(F.min("t").alias("t0"))
+    claims = firsts.select(
+        "id", F.col("base").alias("name"), F.regexp_extract("base", GENERATED, 1).alias("base"),
+        F.try_to_number(F.regexp_extract("base", GENERATED, 2), F.lit("9" * 18)).cast("bigint").alias("k"), F.col("t0").alias("tc"),
+    ).filter("k IS NOT NULL")
+    claims = staged(claims.join(firsts.select("id", "base"), ["id", "base"], "left_semi"), "claimed-names")
+    known = rows.join(firsts, ["id", "base"])
+    lost = spark.createDataFrame([], "id string, base string")
+    while True:
+        queue = known.join(lost.withColumn("_lost", F.lit(True)), ["id", "base"], "left").filter((F.col("t") > F.col("t0")) | F.col("_lost"))
+        queue = staged(queue.select(*rows.columns), "queued-fields")
+        splits = queue.groupBy("id", "base", *SPLIT).agg(F.count(F.lit(1)).alias("n"))
+        earlier = claims.join(splits, ["id", "base"]).filter(F.struct(*SPLIT) < F.struct(*[F.col(f"tc.{c}") for c in SPLIT]))
+        inside = claims.withColumns({c: F.col(f"tc.{c}") for c in SPLIT}).join(queue.select("id", "base", *SPLIT, "t"), ["id", "base", *SPLIT])
+        ahead = earlier.select("id", "base", "name", "n").unionByName(inside.filter("t < tc").select("id", "base", "name", F.lit(1).cast("bigint").alias("n")))
+        ahead = ahead.groupBy("id", "base", "name").agg(F.sum("n").alias("ahead"))
+        judged = claims.join(ahead, ["id", "base", "name"], "left").groupBy("id", "base").agg(
+            F.array_sort(F.collect_list(F.struct("k", F.coalesce("ahead", F.lit(0)).alias("ahead"), "name"))).alias("c")
+        )
+        start = F.struct(F.array().cast("array<bigint>").alias("out"), F.array().cast("array<string>").alias("lost"))
+        verdict = F.aggregate("c", start, lambda x, c: F.when(
+            c["k"] - 2 - F.size(x["out"]) >= c["ahead"], F.struct(F.array_append(x["out"], c["k"]).alias("out"), x["lost"].alias("lost"))
+        ).otherwise(F.struct(x["out"].alias("out"), F.array_append(x["lost"], c["name"]).alias("lost"))))
+        judged = staged(judged.select("id", "base", verdict.alias("v")), "claim-verdicts")
+        now = judged.select("id", F.explode("v.lost").alias("base"))
+        same = now.exceptAll(lost).isEmpty() and lost.exceptAll(now).isEmpty()
+        lost = now
+        if same:
+            break
+    ranked = group_rank(queue, ["id", "base"], [*ARRIVAL, "field"], "m", chunk=list(SPLIT))
+    ranked = ranked.join(judged.select("id", "base", F.col("v.out").alias("out")), ["id", "base"], "left")
+    numbered = ranked.withColumn("n", F.col("m") + 1 + _left_out(F.coalesce("out", F.array().cast("array<bigint>")), F.col("m")))
+    won = known.join(lost, ["id", "base"], "left_anti").filter("t = t0").withColumn("n", F.lit(1).cast("bigint"))
+    out = numbered.select("id", *ARRIVAL, "field", "base", "n").unionByName(won.select("id", *ARRIVAL, "field", "base", "n"))
+    return out.select("id", *ARRIVAL, "field", _numbered(F.col("base"), F.col("n")).alias("name"), "n")
+
+
+def _left_out(out: Column, m: Column) -> Column:
+    """How many of the sorted numbers left out come before the m-th free number from 2 on: the first j with out[j] - 2 - j >= m."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(out) + 1)).cast("int"))
+
+    def halve(x: Column, _: Column) -> Column:
+        mid = F.floor((x["lo"] + x["hi"]) / 2).cast("int")
+        before = F.get(out, mid) - 2 - mid < m
+        move = F.when(before, F.struct((mid + 1).alias("lo"), x["hi"].alias("hi"))).otherwise(F.struct(x["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(x["lo"] < x["hi"], move).otherwise(x)
+
+    whole = F.struct(F.lit(0).alias("lo"), F.size(out).alias("hi"))
+    return F.aggregate(steps, whole, halve)["lo"].cast("bigint")
+
+
 def _clashing_roots(fields: DataFrame, always_tag: bool) -> DataFrame:
     """(id, root) pairs where a generated name may equal the name of another field."""
     counts = fields.groupBy("id", "base").count()
@@ -80,7 +147,7 @@ def _first_free_names(always_tag: bool):
 
         def taken(name: str) -> bool:
             head, _, tail = name.rpartition("_")
-            in_series = tail.isdigit() and not tail.startswith("0") and following.get(head, 0) > int(tail)
+            in_series = tail.isdigit() and not tail.startswith("0") and following.get(head, 0) > int(tail) > 1
             return name in bare or in_series
 
         for batch in batches:
@@ -116,8 +183,8 @@ def tagged_merge_long(
     Each field is named ``<field>__from_<tag>``; the n-th arrival of a name within an id gets ``_n``.
     With ``always_tag=False`` the first arrival of a field keeps its bare name. Numbers are given per
     input split and shifted by the sizes of earlier splits, so an id with very many records is not
-    gathered anywhere. Only where a source field is literally called like a generated name are the
-    names handed out one by one, in a sorted pass that keeps no rows.
+    gathered anywhere. Where a source field is literally called like a generated name, the two compete in the order of arrival
+    (``_free_numbers``); bare names are then handed out one by one, in a sorted pass that keeps no rows.
     """
     return merge_fields(stage_fields(records), skip, always_tag)
 
@@ -147,7 +214,9 @@ def merge_fields(fields: DataFrame, skip: Sequence[str] = ("url", "partition"),
             ranked.filter("n > 1").drop("n"), ["id", "base"], list(ARRIVAL), "n", chunk=list(SPLIT)
         )
         numbers = later.select("id", *ARRIVAL, "field", _numbered(F.col("base"), F.col("n")).alias("name"), "n")
-    if clashes:
+    if clashes and always_tag:
+        numbers = numbers.unionByName(_free_numbers(narrow.join(clashing, ["id", "root"], "left_semi")))
+    elif clashes:
         ship_package(fields.sparkSession)
         ordered = (
             narrow.join(clashing, ["id", "root"], "left_semi")

@@ -57,6 +57,20 @@ def test_first_free_names(spark, always_tag):
     assert merged(spark, rows, always_tag) == expected(rows, always_tag)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_names_that_look_generated(spark, seed):
+    """Queues, claims of their numbers by fields called so, and fields called like those."""
+    g = random.Random(seed)
+    fields = ["x", "x__from_t_2", "x__from_t_3", "x__from_t_2_2", "x__from_t_1", "x__from_t_02", "y", "y__from_t_4"]
+    rows = []
+    for n in range(140):
+        tag = g.choice(["t", "t_2", "t_3", "t_2_2", "u"])
+        rows.append((f"r{g.randrange(5)}", tag, f"f{n // 30}", n // 15 % 2, n, json.dumps({g.choice(fields): n})))
+    rows += [("hot", g.choice(["t", "t_2", "t_3", "t_4", "t_9", "t_30"]), "g", n // 20, n, '{"x": 1}') for n in range(90)]
+    assert {i: sorted(f) for i, f in merged(spark, rows, True).items()} == {i: sorted(f) for i, f in expected(rows, True).items()}
+    assert merged(spark, rows, True) == expected(rows, True)
+
+
 def test_parts_hold_the_whole_record(spark):
     rows = [("hot", "t", f"f{n // 10:02d}", 0, n, json.dumps({"x": n})) for n in range(50)]
     whole = M.tagged_merge(records(spark, rows), part_width=8)
