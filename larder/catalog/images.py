@@ -171,7 +171,7 @@ SQL = {
     "image_records": f"""
         WITH {SQL_SHAPES}
         SELECT replace(key, '/', '__') AS id, 'image' AS type, key AS object_key, 'trusted' AS bucket, 'images' AS source_prefix,
-               h AS image_height, w AS image_width, 1 AS image_channels, '2024-01-01T00-00-00Z' AS processed_at FROM shapes""",
+               h AS image_height, w AS image_width, 3 AS image_channels, '2024-01-01T00-00-00Z' AS processed_at FROM shapes""",
     "ids_with_images": "SELECT DISTINCT source AS id FROM documents",
     "images_of_recipes": f"""
         WITH k AS (SELECT source AS id, {SQL_DOCUMENT_KEY} AS key FROM documents)

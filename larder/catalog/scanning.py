@@ -11,7 +11,7 @@ from larder.operators.landing import ingest_cap
 from larder.plans.exploitation import ingest_documents
 from larder.plans.landing import land_move
 from larder.session import staged, staging_path
-from larder.sources import objects, scan, sinks, versions
+from larder.sources import idsets, objects, scan, sinks, versions
 from larder.streaming.landing import land_stream
 
 FORMS = {"arrays": {"files": "*.txt", "lines": "*.none"}, "lines": {"lines": "*.txt", "files": "*.none"}, "zipped": {"lines": "*.txt.gz", "files": "*.none"}}
@@ -39,6 +39,7 @@ def _stored(spark: SparkSession, folder: str, broken: bool) -> dict[str, str]:
     )
     rows = docs.select(F.pmod("doc_id", F.lit(3)).alias("form"), value.alias("value"))
     root = staging_path(spark, "stored-json")
+    # Three array files, however large: they are streamed out by three tasks and read back by many.
     sinks.write_json_arrays(rows.filter("form = 0").repartition(3), f"{root}/arrays")
     rows.filter("form = 1").select("value").write.text(f"{root}/lines")
     rows.filter("form = 2").select("value").write.option("compression", "gzip").text(f"{root}/zipped")
@@ -241,5 +242,27 @@ SELECT 'target' AS place, 'persistent_landing/' || class || 's/' || class || '$d
 UNION ALL SELECT 'source', lang || '/' || source || '_' || doc_id || '.tar', md5(text) FROM kept
 """
 
-QUERIES = {"landed_once": landed_once, "moved_objects": moved_objects, "object_sink": object_sink, "collection_versions": collection_versions, "image_cap": image_cap, "scan_array": scan_array, "scan_quarantine": scan_quarantine, "ingest_counters": ingest_counters, "stored_records": stored_records}
-SQL = {"landed_once": LANDED_ONCE, "moved_objects": MOVED_OBJECTS, "object_sink": OBJECT_SINK, "collection_versions": COLLECTION_VERSIONS, "image_cap": IMAGE_CAP, "scan_array": SCAN_ARRAY, "scan_quarantine": SCAN_QUARANTINE, "ingest_counters": INGEST_COUNTERS, "stored_records": STORED_RECORDS}
+def id_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct ids of three runs that overlap, one of them repeated: counted apart and together, and the keys of each id."""
+    docs = B.table(spark, folder, "documents").select(F.concat_ws(":", "lang", F.col("n_chars").cast("string")).alias("id"), F.col("doc_id").cast("string").alias("key"), "doc_id")
+    path = staging_path(spark, "id-sets")
+    for run, part in (("a", "doc_id % 2 = 0"), ("b", "doc_id % 3 = 0"), ("a", "doc_id % 2 = 0"), ("c", "doc_id % 2 = 1")):
+        idsets.add_ids(docs.filter(part).select("id", "key"), path, run)
+    out = spark.createDataFrame([], "runs string, ids bigint")
+    for runs in (["a"], ["b"], ["a", "b"], None):
+        out = out.unionByName(idsets.count_ids(spark, path, runs).withColumn("runs", F.lit("+".join(runs or ["all"]))))
+    keys = idsets.keys_of_ids(spark, path).groupBy("id").agg(F.sum(F.size("keys")).alias("n"))
+    return out.unionByName(keys.groupBy("n").agg(F.count(F.lit(1)).alias("ids")).select(F.concat(F.lit("keys "), "n").alias("runs"), "ids"))
+
+
+ID_SETS = """
+WITH d AS (SELECT lang || ':' || n_chars AS id, doc_id FROM documents), k AS (SELECT id, count(*) AS n FROM d GROUP BY id)
+SELECT 'a' AS runs, count(DISTINCT id) AS ids FROM d WHERE doc_id % 2 = 0
+UNION ALL SELECT 'b', count(DISTINCT id) FROM d WHERE doc_id % 3 = 0
+UNION ALL SELECT 'a+b', count(DISTINCT id) FROM d WHERE doc_id % 2 = 0 OR doc_id % 3 = 0
+UNION ALL SELECT 'all', count(DISTINCT id) FROM d
+UNION ALL SELECT 'keys ' || n, count(*) FROM k GROUP BY n
+"""
+
+QUERIES = {"id_sets": id_sets, "landed_once": landed_once, "moved_objects": moved_objects, "object_sink": object_sink, "collection_versions": collection_versions, "image_cap": image_cap, "scan_array": scan_array, "scan_quarantine": scan_quarantine, "ingest_counters": ingest_counters, "stored_records": stored_records}
+SQL = {"id_sets": ID_SETS, "landed_once": LANDED_ONCE, "moved_objects": MOVED_OBJECTS, "object_sink": OBJECT_SINK, "collection_versions": COLLECTION_VERSIONS, "image_cap": IMAGE_CAP, "scan_array": SCAN_ARRAY, "scan_quarantine": SCAN_QUARANTINE, "ingest_counters": INGEST_COUNTERS, "stored_records": STORED_RECORDS}

@@ -217,9 +217,10 @@ def letterbox(image: Column | str, size: tuple[int, int] = (512, 512), white_alp
 
 
 def is_valid(image: Column | str) -> Column:
-    """True for a decoded raster."""
+    """True for a decoded raster with as many bytes as its size says."""
     c = F.col(image) if isinstance(image, str) else image
-    return F.coalesce((c["height"] > 0) & (c["width"] > 0), F.lit(False))
+    size = c["height"].cast("bigint") * c["width"] * c["nChannels"]
+    return F.coalesce((c["height"] > 0) & (c["width"] > 0) & (F.octet_length(c["data"]) == size), F.lit(False))
 
 
 def white_raster(side: int = 224) -> Column:

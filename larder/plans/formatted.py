@@ -45,10 +45,16 @@ def format_documents(
 
 
 def measured_images(
-    images: DataFrame, limits: Q.Thresholds = Q.Thresholds(), size: tuple[int, int] = (512, 512), strict: bool = False
+    images: DataFrame,
+    limits: Q.Thresholds = Q.Thresholds(),
+    size: tuple[int, int] = (512, 512),
+    strict: bool = False,
+    white_alpha: bool = False,
 ) -> DataFrame:
     """Measures of each image (``key, image``) and, when it passes the quality tests, its letterboxed raster.
 
+    With ``white_alpha`` transparent pixels are laid over white; else their colour is taken as it is.
+
     Everything that needs the pixels happens in this one pass; rejected images carry no raster on.
     """
     valid = I.is_valid("image")
@@ -67,7 +73,7 @@ def measured_images(
     return (
         measured.withColumn("blur", F.col("_m.blur"))
         .withColumn("phash", F.col("_m.phash"))
-        .withColumn("boxed", I.letterbox(F.when(fine.isNull(), F.col("_decent")), size))
+        .withColumn("boxed", I.letterbox(F.when(fine.isNull(), F.col("_decent")), size, white_alpha))
         .select("id", "key", "valid", "width", "height", "blur", "phash", "boxed")
     )
 
@@ -85,13 +91,14 @@ def screen_and_box(
     existing: DataFrame | None = None,
     overwrite: bool = True,
     strict: bool = False,
+    white_alpha: bool = False,
 ) -> dict[str, DataFrame]:
     """Screened images: ``screened`` rows, ``kept`` rasters, ``counters``, ``report`` and ``skips``.
 
     Pixels are decoded once into a columnar staging table; the duplicate test reads only its small
     columns, and the kept rasters are picked from it by key.
     """
-    table = staged(measured_images(images, limits, size, strict), "images")
+    table = staged(measured_images(images, limits, size, strict, white_alpha), "images")
     screened = Q.screen(table.drop("boxed"), limits, dedup)
     winners = screened.filter(F.col("reason").isNull()).select("key")
     kept = semi_join(table.select("id", "key", F.col("boxed").alias("image")), winners, "key")

@@ -18,6 +18,7 @@ from larder.operators.reports import document_report, record_counts
 from larder.plans.formatted import screen_and_box
 from larder.session import staged
 from larder.sources import sinks
+from larder.sources.idsets import add_ids
 
 TEXT_LIST = "array<struct<text:string>>"
 TEXT_COLUMNS = tuple(f"{part}_text_{form}" for part in ("title", "ingredients", "instructions") for form in ("raw", "clean"))
@@ -64,15 +65,20 @@ def recipe_images(images: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def trust_images(images: DataFrame, out: str | None = None, **options) -> dict[str, DataFrame]:
-    """Second screening pass plus the id list handed to the document stage."""
+    """Second screening pass plus the id list handed to the document stage.
+
+    With ``out`` the ids and keys of the run are added to the id sets there (``run`` names it), and ``id_count`` counts the ids of all runs.
+    """
     strict = options.get("strict", False)
-    result = screen_and_box(images, **options)
+    result = screen_and_box(images, **{n: v for n, v in options.items() if n != "run"})
     result["ids"] = image_ids(images, strict=strict)
     if out is not None:
         sinks.write_images(result["kept"], f"{out}/images", options.get("overwrite", True))
         sinks.write_skip_log(result["skips"], f"{out}/skips")
         sinks.write_report(result["report"], f"{out}/report")
         result["ids"].write.mode("overwrite").parquet(f"{out}/ids")
+        pairs = images.select(K.recipe_id("key", strict).alias("id"), "key").filter("id IS NOT NULL")
+        result["id_count"] = add_ids(pairs, f"{out}/id-sets", options.get("run", "images"))
     return result
 
 

@@ -42,14 +42,13 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of one partition as one JSON array: commas behind all but the last."""
-    held, first = None, "["
+    held = None
     for batch in batches:
-        for value in batch.column("value").to_pylist():
-            if held is not None:
-                yield pa.RecordBatch.from_pydict({"value": [f"{first}{held},"]})
-                first = ""
-            held = value
-    yield pa.RecordBatch.from_pydict({"value": [f"{first}{held or ''}]"]})
+        values = batch.column("value").to_pylist()
+        if values:
+            yield pa.RecordBatch.from_pydict({"value": ["[" if held is None else f"{held},", *[f"{v}," for v in values[:-1]]]})
+            held = values[-1]
+    yield pa.RecordBatch.from_pydict({"value": ["[]"] if held is None else [held, "]"]})
 
 
 def write_json_arrays(rows: DataFrame, path: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from larder.operators.ranking import weighted_cut
 from larder.plans.landing import land_move
 from larder.plans.trusted import dry_run_documents, trust_documents
-from larder.sources import objects, versions
+from larder.sources import idsets, objects, versions
 from larder.streaming.landing import land_stream
 
 
@@ -168,3 +168,19 @@ def test_sources_go_once_their_targets_are_there(spark, tmp_path):
     land_move(spark, str(src), str(out), "ds", "t")
     assert files_under(src) == ["c.tar"] and len(files_under(out)) == 2
     assert land_move(spark, str(src), str(out), "ds", "t").first()["skipped_files"] == 1
+
+
+def test_id_sets_add_up_across_runs(spark, tmp_path):
+    rng, seen, path = random.Random(8), {}, str(tmp_path / "ids")
+    for run in ("1", "b", "1", "c", "none"):
+        seen[run] = [] if run == "none" else [(f"id{rng.randrange(400)}", f"k{rng.randrange(3)}") for _ in range(rng.choice([50, 300]))]
+        pairs = spark.createDataFrame(seen[run] + [(None, "k")], "id string, key string").repartition(3)
+        union = {i for rows in seen.values() for i, _ in rows}
+        assert idsets.add_ids(pairs, path, run) == len(union)
+    for runs in (["1"], ["b", "c"], ["none"], ["other"], None):
+        rows = [x for r in runs or seen for x in seen.get(r, [])]
+        assert idsets.count_ids(spark, path, runs).first()["ids"] == len({i for i, _ in rows})
+        got = {r["id"]: r["keys"] for r in idsets.keys_of_ids(spark, path, runs).collect()}
+        assert got == {i: sorted({k for j, k in rows if j == i}) for i in {i for i, _ in rows}}
+    numbers = spark.read.parquet(f"{path}/numbers").collect()
+    assert len({r["id"] for r in numbers}) == len({r["n"] for r in numbers}) == len(numbers)
