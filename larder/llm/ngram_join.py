@@ -138,8 +138,8 @@ def shingles(words: Words, text: bytes | None, width: int) -> np.ndarray:
     return np.unique(mixed(out + np.full(1, width, U) * ODD))
 
 
-def _deal(percent: int, width: int, buckets: int):
-    """Set sizes, members of large groups inside a piece, and the keys for each bucket."""
+def _deal(percent: int, width: int, buckets: int, bits: int):
+    """Set sizes, members of large groups inside a piece, and the keys for each bucket, as differences in their order."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, words = Partition(percent), Words()
@@ -152,7 +152,7 @@ def _deal(percent: int, width: int, buckets: int):
             use = [k for k, s in enumerate(sets) if len(s) and ids[k] is not None and not copies[k]]
             if use:
                 keys, docs = partition.keys([sets[k] for k in use], sizes[use])
-                keys, who = keys >> U(16), np.array([ids[k] for k in use], np.int64)[docs]  # candidates need no more bits
+                keys, who = keys >> U(64 - bits), np.array([ids[k] for k in use], np.int64)[docs]
                 keys, who = _distinct(keys, who)
                 count = np.diff(runs(keys))
                 large = np.repeat(count > SMALL, count)
@@ -163,7 +163,7 @@ def _deal(percent: int, width: int, buckets: int):
                 keys, who, large = keys[send], who[send], large[send]
                 order, parts = by_bucket(keys, buckets)
                 keys, who = keys[order] // U(buckets) << U(1) | large[order].astype(U), who[order].view(U)
-                rows += [(KEYS, b, None, None, planes(keys[x:y]), planes(who[x:y])) for b, x, y in parts]
+                rows += [(KEYS, b, None, None, planes(np.diff(keys[x:y], prepend=U(0))), planes(who[x:y])) for b, x, y in parts]
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             names = ["kind", "bucket", "id", "n", "keys", "ids"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
@@ -192,7 +192,7 @@ def _groups(buckets: int):
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
         def resolve() -> Iterator[pa.RecordBatch]:
-            k, i = np.concatenate([unplaned(x) for x in keys]), np.concatenate([unplaned(x) for x in ids]).view(np.int64)
+            k, i = np.concatenate([np.cumsum(unplaned(x), dtype=U) for x in keys]), np.concatenate([unplaned(x) for x in ids]).view(np.int64)
             order = np.lexsort((i, k >> U(1)))
             k, i = k[order], i[order]
             flag, k = (k & U(1)).astype(bool), (k >> U(1)) * U(buckets) + U(now)
@@ -221,7 +221,7 @@ def _groups(buckets: int):
                 if b != now and keys:
                     yield from resolve()
                     keys, ids = [], []
-                    if sum(len(x) for x, _ in pairs) > 1_000_000:
+                    if sum(len(x) for x, _ in pairs) > 300_000:
                         yield from flush()
                 now = b
                 keys.append(k)
@@ -276,6 +276,9 @@ def similarity_groups(
     prepare(spark)
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(256, 4 * deals)
+    # Keys as wide as keeps chance candidates below the number of keys, which is about that of the bytes: the logarithm and eight bits.
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
+    bits = min(62, max(32, size.bit_length() + 8))
     plain = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.pmod(F.xxhash64(text_col), F.lit(1 << 16)).cast("int").alias("tag"),
         F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(text_col).rlike(WORD), F.lit(False)).alias("worded"),
@@ -285,7 +288,7 @@ def similarity_groups(
     copies = staged(names.join(firsts, "m").filter("id > first").select("id", "tag", "first").distinct(), "equal-texts")
     marks = _sent(copies.select("id", "tag", F.lit(True).alias("copy")).distinct(), broadcast_ids)
     read = plain.join(marks, ["id", "tag"], "left").select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
-    dealt = read.mapInArrow(_deal(percent, width, buckets), DEALT).repartition(deals, "bucket").sortWithinPartitions("kind", "bucket")
+    dealt = read.mapInArrow(_deal(percent, width, buckets, bits), DEALT).repartition(min(buckets, 4 * deals), "bucket").sortWithinPartitions("kind", "bucket")
     found = staged(dealt.mapInArrow(_groups(buckets), FOUND), "set-keys")
     sizes = found.filter(f"kind = {SIZE}").select("id", F.col("n").alias("n_shingles"))
     members = found.filter(f"kind = {MEMBER}").select(F.col("n").alias("g"), "id").distinct()
