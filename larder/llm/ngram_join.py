@@ -276,9 +276,9 @@ def similarity_groups(
     prepare(spark)
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(256, 4 * deals)
-    # Keys as wide as keeps chance candidates below the number of keys, which is about that of the bytes: the logarithm and eight bits.
+    # Keys as wide as keeps chance candidates rare at any size: one in 2**15 keys, whose number is about that of the bytes.
     size = docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
-    bits = min(62, max(32, size.bit_length() + 8))
+    bits = min(62, max(32, size.bit_length() + 14))
     plain = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.pmod(F.xxhash64(text_col), F.lit(1 << 16)).cast("int").alias("tag"),
         F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(text_col).rlike(WORD), F.lit(False)).alias("worded"),
