@@ -11,6 +11,7 @@ that do not match spoil everything behind them, unless the file has one element
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,15 +53,22 @@ def structure(data: np.ndarray, string: int, depth: int) -> tuple[np.ndarray, np
     return outside & ~quote, after, int(count[-1] + base[-1]) & 1 if ends.size == 0 or ends[-1] + 1 < len(data) else 0
 
 
-def element_lines(data: np.ndarray, outside: np.ndarray, after: np.ndarray) -> bool:
-    """Whether the first line break behind an object follows the comma behind it: one element per line."""
-    opened = np.flatnonzero(data == ord("{"))
-    ends = np.flatnonzero(data == NEWLINE)
-    ends = ends[ends > opened[0]] if len(opened) else ends[:0]
-    if not len(ends):
-        return False
-    head = data[: ends[0]].tobytes().rstrip(BLANK)
-    return head.endswith(b",") and bool(outside[len(head) - 1]) and int(after[len(head) - 1]) == 1
+def element_lines(raw: bytes, most: int = 32) -> bool | None:
+    """Whether half of the first whole lines or more are one object each; None without a line break."""
+    lines = raw.split(b"\n", most)[:-1]
+    if not lines:
+        return None
+    good = total = 0
+    for line in lines:
+        inner = line.strip(BLANK).removesuffix(b",").removeprefix(b"[").strip(BLANK)
+        if inner in (b"", b"]"):
+            continue
+        total += 1
+        try:
+            good += isinstance(json.loads(inner), dict)
+        except ValueError:
+            pass
+    return good > 0 and good * 2 >= total
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bytes | None]]:
@@ -105,10 +113,12 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state["lines"] += int(np.count_nonzero(data == NEWLINE))
         shown = raw.strip(BLANK)
         state["tail"] = chr(shown[-1]) if shown else state["tail"]
+        if state["by_line"] is None:
+            state["by_line"] = element_lines(raw)
         for e in (0, 1):
             outside, after, string = structure(data, state[f"s{e}"], state[f"d{e}"])
             if e == 0 and state["root"] is None and shown:
-                state["root"], state["by_line"] = chr(shown[0]), element_lines(data, outside, after)
+                state["root"] = chr(shown[0])
             levels, counts = np.unique(after[outside & (data == COMMA)], return_counts=True)
             for level, n in zip(levels.tolist(), counts.tolist()):
                 state[f"c{e}"][level] = state[f"c{e}"].get(level, 0) + n
@@ -149,7 +159,7 @@ class Cutter:
             data = np.frombuffer(raw, np.uint8)
             outside, after, self.string = structure(data, self.string, self.depth)
             if self.layout is None:
-                self.layout = element_lines(data, outside, after)
+                self.layout = element_lines(raw)
             self.depth = int(after[-1])
             border = ((data == OPEN) | (data == COMMA)) & (after == 1) | (STEP[data] < 0) & (after == 0)
             marks = np.flatnonzero(outside & border)

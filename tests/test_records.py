@@ -102,6 +102,7 @@ def test_bad_records_do_not_take_others_along(spark, tmp_path, block_size, size)
     files = {
         "quote.json": '[{"id": "a"},\n{"id": "b, "x": 1},\n{"id": "c"}]',  # an unclosed quote spoils its line
         "brace.json": "[\n" + "".join(f'{{"id": "n{i}"}},\n' for i in range(20)) + '{"id": "lost", "x": [1},\n{"id": "d"},\n{"id": "e"}\n]\n',
+        "first.json": '[{"id": "lost", "x": {"y": 1},\n{"id": "s"},\n{"id": "t"}]',
         "cut.json": '[{"id": "f"}, {"id": "g", "text": "and so on',
         "compact.json": '[{"id":"h"},{"id":"i"},{"id":{"j":1},{"id":"k"},{"id":"l"}]',
         "odd.json": '[{"id": "o"}, 5, , [1], {"id": "p"},] tail',
@@ -111,13 +112,13 @@ def test_bad_records_do_not_take_others_along(spark, tmp_path, block_size, size)
     for name, text in files.items():
         (tmp_path / name).write_text(text)
     ids = sorted(r["id"] for r in scan.scan_documents(spark, str(tmp_path)).collect())
-    assert ids == sorted(["a", "c", *[f"n{i}" for i in range(20)], "d", "e", "f", "h", "i", "o", "p", "q", "r"])
+    assert ids == sorted(["a", "c", *[f"n{i}" for i in range(20)], "d", "e", "f", "h", "i", "o", "p", "q", "r", "s", "t"])
     lost = {}
     for r in scan.quarantine(spark, str(tmp_path)).collect():
         name = r["file"].rsplit("/", 1)[1]
         lost.setdefault(name, []).append((r["reason"], files[name][r["at"] :][:4]))
     assert {n: sorted(x) for n, x in lost.items()} == {
-        "quote.json": [("not JSON", '{"id')], "brace.json": [("not JSON", '{"id')], "cut.json": [("unclosed", '{"id')],
+        "quote.json": [("not JSON", '{"id')], "brace.json": [("not JSON", '{"id')], "first.json": [("not JSON", '{"id')], "cut.json": [("unclosed", '{"id')],
         "compact.json": [("unclosed", '{"id')], "scalar.json": [("not an object", "7")], "bad.json": [("not JSON", "{oop")],
         "odd.json": [("empty element", ", [1"), ("empty element", "] ta"), ("not an object", "5, ,"), ("not an object", "[1],"), ("outside the root", "tail")],
     }
