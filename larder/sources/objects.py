@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.session import ship_package, staging_path
+from larder.session import many_files, ship_package, staging_path
 
 MANIFEST = "key string, staged string, bytes bigint"
 
@@ -134,6 +134,7 @@ def stored_objects(spark: SparkSession, path: str) -> DataFrame:
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return spark.createDataFrame([], "key string, length bigint, content binary")
+    many_files(spark)
     root = files.getFileStatus(folder).getPath().toString().rstrip("/")
     bare = F.regexp_replace("path", "^file:/+", "file:/")
     key = F.substring(bare, len("file:/" + root[len("file:"):].lstrip("/") if root.startswith("file:") else root) + 2, 2**31 - 1)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from larder.functions import keys as K
 from larder.functions.keys import utc_timestamp
 from larder.operators.landing import organise
+from larder.session import many_files
 
 SOURCE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -21,19 +22,23 @@ def land_stream(
     dataset: str,
     clean: str = "off",
     archive: str | None = None,
+    batch_files: int = 100_000,
 ) -> StreamingQuery:
     """Land files not seen before: classify, key and store them, then stop.
 
     The checkpoint remembers the paths read, and in a state store the name and content hash of each file: a file that is delivered again in
     another folder with the same name and content lands once, also after a restart, and one with a new content lands anew. The state holds 32 bytes
     and the name of every file; set a RocksDB state store for very many. ``clean`` is ``off``, ``archive`` or ``delete``; Spark
-    removes a source only after a later batch has been committed.
+    removes a source only after a later batch has been committed. All files are landed, in batches of at most ``batch_files``, whose paths pass the
+    driver.
     """
+    many_files(spark)
     reader = (
         spark.readStream.format("binaryFile")
         .schema(SOURCE_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("cleanSource", clean)
+        .option("maxFilesPerTrigger", batch_files)
     )
     if archive:
         reader = reader.option("sourceArchiveDir", archive)

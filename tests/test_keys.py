@@ -101,3 +101,22 @@ def test_timestamp_and_trace_key(spark):
 def test_jpg_key_and_vector_id(spark):
     got = column(spark, ["a/b.c.png", "a/x"], K.jpg_key(F.lit("out"), "x"), K.vector_id("x"), K.original_name("x"))
     assert got == [("out/b.c.jpg", "a__b.c.png", "b.c.png"), ("out/x.jpg", "a__x", "x")]
+
+
+def test_a_key_is_taken_apart_few_times(spark):
+    from larder.operators.landing import organise
+
+    rows = spark.createDataFrame([("a//b.JPEG", "image/png")], "key string, content_type string")
+    plan = organise(rows, "b", "d", "t").select("class", "dst_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") < 100
+
+
+def test_path_parts_of_odd_keys(spark):
+    from larder.functions import keys as K
+
+    rows = spark.createDataFrame([("",), (".",), ("/",), ("a/.",), ("\n",), ("x.jpe",), ("x.jpeg",), ("x.JPEG\n",), ("x",), (None,)], "k string")
+    got = rows.select(K.posix_path("k"), K.file_name("k"), K.extension("k")).collect()
+    assert [tuple(r) for r in got] == [
+        (".", "", "bin"), (".", "", "bin"), ("/", "", "bin"), ("a", "a", "bin"), ("\n", "\n", "bin"),
+        ("x.jpe", "x.jpe", "jpg"), ("x.jpeg", "x.jpeg", "jpg"), ("x.JPEG\n", "x.JPEG\n", "jpeg\n"), ("x", "x", "bin"), (None, None, None),
+    ]

@@ -184,3 +184,23 @@ def test_id_sets_add_up_across_runs(spark, tmp_path):
         assert got == {i: sorted({k for j, k in rows if j == i}) for i in {i for i, _ in rows}}
     numbers = spark.read.parquet(f"{path}/numbers").collect()
     assert len({r["id"] for r in numbers}) == len({r["n"] for r in numbers}) == len(numbers)
+
+
+def test_stream_lands_all_files_in_batches_of_bounded_size(spark, tmp_path):
+    from larder.streaming.landing import land_stream
+
+    for i in range(7):
+        (tmp_path / "in" / f"d{i % 2}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / f"d{i % 2}" / f"f{i}.json").write_text(f"{{{i}}}")
+    query = land_stream(spark, str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "out"), "d", batch_files=3)
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [3, 3, 1]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 7
+
+
+def test_many_small_files_come_in_few_tasks(spark, tmp_path):
+    from larder.sources.objects import stored_objects
+
+    for i in range(400):
+        (tmp_path / f"f{i}.txt").write_text("x")
+    assert stored_objects(spark, str(tmp_path)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
