@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.session import ship_package
+from larder.session import long_rows as prepare  # noqa: F401
 
 # The character classes of the contracts.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -14,14 +14,6 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def prepare(spark: SparkSession, rows: int = 500) -> None:
-    """Ship the package to the Python workers and bound the rows of an Arrow batch, as texts can be long."""
-    ship_package(spark)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, rows)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
