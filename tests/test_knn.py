@@ -95,3 +95,27 @@ def test_own_encoder(spark):
 
     df = spark.createDataFrame([("ab",), ("abc",)], "t string")
     assert sorted(r["embedding"] for r in embed(df, "t", encoder).collect()) == [[2.0, 1.0], [3.0, 1.0]]
+
+
+def test_state_is_k_pairs_per_query_and_exact():
+    g = np.random.default_rng(9)
+    vectors = np.concatenate([g.normal(size=(9000, 16)), np.tile(g.normal(size=(1, 16)), (4000, 1)), g.normal(size=(500, 16)) * 1e6])
+    vectors, queries = vectors[g.permutation(len(vectors))], None
+    queries = np.concatenate([vectors[:40], g.normal(size=(30, 16)), np.zeros((1, 16))])
+    ids = g.permutation(len(vectors))
+    top = N.TopK(queries, 5)
+    for start in range(0, len(ids), 3000):
+        top.add(ids[start : start + 3000], vectors[start : start + 3000])
+        assert top.ids.shape == top.scores.shape == (len(queries), 5)
+    for q, found, scores in zip(queries, top.ids, top.scores):
+        exact = np.square(vectors - q).sum(1)
+        want = np.lexsort((ids, exact))[:5]
+        assert found.tolist() == ids[want].tolist() and scores.tolist() == exact[want].tolist()
+
+
+def test_top_k_with_text_ids_and_numbers_that_are_none():
+    vectors = np.array([[0.0, 1.0], [np.nan, 0.0], [3.0, 3.0], [0.0, 1.0], [0.0, 2.0]])
+    top = N.TopK(np.array([[0.0, 0.0]]), 2)
+    for i, v in zip("ebdac", vectors):
+        top.add(np.array([i], object), v[None, :])
+    assert top.ids.tolist() == [["a", "e"]]
