@@ -87,3 +87,21 @@ def test_empty_and_single(spark, tmp_path):
     rows = frame(spark, [5], [[1, 2]])
     assert ivf.build_index(rows, str(tmp_path / "a")) == 1
     assert ranked(ivf.search_index(spark, str(tmp_path / "a"), rows.toDF("query_id", "embedding"), 3)) == {5: [5]}
+
+
+def test_few_candidates_leave_a_task_that_sees_the_nearest_last():
+    import pyarrow as pa
+
+    class Sent:
+        value = (np.arange(50), np.random.default_rng(3).normal(size=(50, 8)), np.ones((50, 1), bool))
+
+    g = np.random.default_rng(4)
+    vectors = g.normal(size=(4000, 8))
+    vectors = vectors[np.argsort(-np.square(vectors).sum(1))] * np.linspace(9, 1, 4000)[:, None]
+    codes, step, missed = ivf.compress(vectors)
+    names = ["id", "list", "code", "step", "missed"]
+    rows = pa.RecordBatch.from_arrays([pa.array(np.arange(4000)), pa.array(np.zeros(4000, np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(step), pa.array(missed)], names=names)
+    found = list(ivf._candidates(Sent, np.zeros((1, 8)), 5)(rows.slice(x, 100) for x in range(0, 4000, 100)))
+    got = set(zip(np.concatenate([np.asarray(b.column("query_id")) for b in found]).tolist(), np.concatenate([np.asarray(b.column("id")) for b in found]).tolist()))
+    want = {(i, int(j)) for i, q in enumerate(Sent.value[1]) for j in np.argsort(np.square(vectors - q).sum(1))[:5]}
+    assert want <= got and len(got) <= 3 * len(want)
