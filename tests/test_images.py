@@ -147,3 +147,37 @@ def test_trusted_images(spark, files, tmp_path):
 def test_listing(spark, files):
     assert list_objects(spark, files, ("png",)).count() == 6
     assert list_objects(spark, files).filter(F.col("length") > 0).count() == 7
+
+
+def test_rasters_come_in_short_batches(spark):
+    from larder.functions import images as I
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 10_000)
+    try:
+        for make in (I.measure, I.blur, I.letterbox):
+            spark.conf.set(name, 10_000)
+            make("image")
+            assert int(spark.conf.get(name)) <= 500
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_neighbours_of_every_twentieth_image_among_all(spark, folder):
+    import numpy as np
+
+    from larder.catalog import images as C
+    from larder.operators.embed import pixel_embed
+
+    rows = pixel_embed(C.rasters(spark, folder)).select("key", "embedding").collect()
+    keys, vectors = [r["key"] for r in rows], np.array([r["embedding"] for r in rows], np.float64)
+    want = {}
+    for key, q in zip(keys, vectors):
+        if int(key.rsplit("_", 1)[1][:-4]) % 20 == 0:
+            score = np.square(vectors - q).sum(1)
+            want[key] = [keys[i] for i in sorted(range(len(keys)), key=lambda i: (score[i], keys[i]))[:3]]
+    got = {}
+    for r in sorted(C.image_neighbours(spark, folder).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["id"])
+    assert got == want
