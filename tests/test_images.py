@@ -181,3 +181,15 @@ def test_neighbours_of_every_twentieth_image_among_all(spark, folder):
     for r in sorted(C.image_neighbours(spark, folder).collect(), key=lambda r: r["rank"]):
         got.setdefault(r["query_id"], []).append(r["id"])
     assert got == want
+
+
+def test_entries_hold_the_colour_form_of_an_image(spark):
+    from larder.plans.exploitation import image_entries
+
+    shapes = [("grey", 2, 3, 1, 0, bytes(range(6))), ("alpha", 1, 2, 4, 24, bytes(range(8))), ("bgr", 1, 1, 3, 16, b"abc"), ("none", -1, -1, -1, -1, b"")]
+    rows = [(n, (n, h, w, c, m, bytearray(d))) for n, h, w, c, m, d in shapes]
+    images = spark.createDataFrame(rows, "key string, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
+    got = {r["id"]: (r["image_height"], r["image_width"], r["image_channels"], bytes(r["image"]["data"])) for r in image_entries(images, "b", "p", "t").collect()}
+    assert got == {
+        "grey": (2, 3, 3, bytes(v for v in range(6) for _ in range(3))), "alpha": (1, 2, 3, bytes([0, 1, 2, 4, 5, 6])), "bgr": (1, 1, 3, b"abc"),
+    }
