@@ -3,14 +3,16 @@
 Words belong to classes; a word's probability is that of its class after the class before it, times that of the
 word in its class: ``P(w | v) = P(c(w) | c(v)) * P(w | c(w))``, both with added counts, so every word of every text has a
 probability and the perplexity is finite. Counts of words come from all training texts: each task adds up its own and one
-shuffle adds those. The ``clustered`` most frequent words are put into ``classes`` classes by exchange clustering: a
-word moves to the class that raises the likelihood of the class bigrams most, until few move. All other
-words share one class more, the text's end has its own. The bigram counts of the clustered words, one table of
-at most (clustered + 2) squared entries, pass the driver.
+shuffle adds those. The ``clustered`` most frequent words start the ``classes`` classes by exchange clustering: a
+word moves to the class that raises the likelihood of the class bigrams most, until few move. Their bigram counts, one table of
+at most (clustered + 2) squared entries, pass the driver. Then every other training word, whatever its count, goes by the same
+measure into the class that gains most from the classes found before and after it in all training texts; these counts are
+shuffled by word. The class bigrams are counted again with all words in their classes. Words without training counts
+share one class more, the text's end has its own.
 
-Scoring reads the texts once. The ``known`` most frequent words (a bounded table, sent to the tasks) are
-looked up there. Any other word's class is known, its count is not: those few go out as (row, word, times)
-and are joined with the full table of counts, so all counts are exact whatever the size of the vocabulary.
+Texts are read with the ``known`` most frequent words (a bounded table, sent to the tasks). Any other word goes out as (row, place,
+word) with the classes beside it and is joined with the full table of words, so all counts and classes are exact whatever
+the size of the vocabulary.
 
 Defined results: a null text is empty and consists of its end alone. A null id is never held out. Equal rows score equally.
 Without training texts every word is unknown. An empty table gives an empty result; further columns are ignored.
@@ -20,19 +22,23 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from math import log10
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.arrays import pieces
+from larder.llm.arrays import flat, pieces, runs
 from larder.llm.common import prepare, table
 from larder.session import staged
 
 COUNTED = "word binary, n bigint"
-SCORED = "row bigint, id string, flag boolean, n_tokens bigint, n_known bigint, base double, score double, word binary, times bigint"
+CONTEXTS = "word binary, beside array<bigint>"
+PLACED = "word binary, n bigint, c int"
+READ = (
+    "row bigint, id string, flag boolean, n_tokens bigint, n_known bigint, base double, score double, pairs binary, "
+    "word binary, place bigint, before int, after int"
+)
 
 
 def _count_words(flush: int):
@@ -78,6 +84,93 @@ def _count_pairs(index: dict[bytes, int]):
     return count
 
 
+def _count_contexts(index: dict[bytes, int], own: np.ndarray, flush: int):
+    """Of each word outside ``index``: how often each class stands before and after it, as ``times * 2k + side * k + class``."""
+    k = int(own.max()) + 1
+    first = len(index)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, found, held = dict(index), [], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            codes, at = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+            return codes, np.bincount(at, weights=np.concatenate([n for _, n in found])).astype(np.int64)
+
+        def table_() -> Iterator[pa.RecordBatch]:
+            words = list(number)[first:]
+            codes, n = added()
+            word, beside = codes // (2 * k), n * (2 * k) + codes % (2 * k)
+            for a in range(0, len(words), 50_000):
+                names = words[a : a + 50_000]
+                edges = np.searchsorted(word, np.arange(a, a + len(names) + 1))
+                lists = pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), pa.array(beside[edges[0] : edges[-1]]))
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), lists], names=["word", "beside"])
+
+        for piece in pieces(batches, "text"):
+            numbers = [-1]
+            for text in piece.column("text").to_pylist():
+                numbers += [number.setdefault(w, len(number)) for w in (text or b"").lower().split()]
+                numbers.append(-1)
+            x = np.array(numbers, np.int64)
+            c = own[np.where(x < 0, first + 1, np.minimum(x, first))]
+            at = np.flatnonzero(x >= first)
+            if not len(at):
+                continue
+            codes = np.concatenate([(x[at] - first) * (2 * k) + c[at - 1], (x[at] - first) * (2 * k) + k + c[at + 1]])
+            found.append(np.unique(codes, return_counts=True))
+            held += len(found[-1][0])
+            if held > 8 * flush:
+                found[:] = [added()]
+                held = len(found[0][0])
+            if len(number) - first > flush or held > 4 * flush and len(found) == 1:
+                yield from table_()
+                number, held = dict(index), 0
+                found.clear()
+        if found:
+            yield from table_()
+
+    return count
+
+
+def _place(bigrams: np.ndarray):
+    """Class of each word by what its neighbours' classes, which stay, gain from it; the last two classes take none. Rows come by word."""
+    k = len(bigrams)
+    t = bigrams.astype(np.float64)
+    sides = np.concatenate([t[:, : k - 2], t.T[:, : k - 2]])  # by slot: how often each class comes after, then before, that class
+    left, right = t.sum(axis=1)[: k - 2], t.sum(axis=0)[: k - 2]
+
+    def chosen(words: pa.Array, beside: np.ndarray) -> pa.RecordBatch:
+        n = beside[:, :k].sum(axis=1)
+        word, slot = np.nonzero(beside)
+        times = beside[word, slot][:, None]
+        each = _plogp(sides[slot] + times) - _plogp(sides[slot])
+        gain = np.add.reduceat(each, runs(word)[:-1], axis=0)
+        gain -= _plogp(left + n[:, None]) - _plogp(left) + _plogp(right + n[:, None]) - _plogp(right)
+        c = pa.array(np.argmax(gain, axis=1).astype(np.int32))
+        return pa.RecordBatch.from_arrays([words, pa.array(n.astype(np.int64)), c], names=["word", "n", "c"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, open_ = None, np.zeros(2 * k)  # a word may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists, coded = batch.column("beside"), batch.column("word").dictionary_encode()
+            words, numbers = coded.dictionary, np.asarray(coded.indices, np.int64)
+            values, owner = np.asarray(lists.flatten(), np.int64), np.repeat(numbers, np.asarray(lists.value_lengths(), np.int64))
+            beside = np.bincount(owner * (2 * k) + values % (2 * k), weights=values // (2 * k), minlength=len(words) * 2 * k).reshape(-1, 2 * k)
+            if last is not None and words[0].as_py() == last:
+                beside[0] += open_
+            elif last is not None:
+                yield chosen(pa.array([last], pa.binary()), open_[None, :])
+            last, open_ = words[-1].as_py(), beside[-1]
+            if len(words) > 1:
+                yield chosen(words[:-1], beside[:-1])
+        if last is not None:
+            yield chosen(pa.array([last], pa.binary()), open_[None, :])
+
+    return place
+
+
 def _plogp(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
@@ -135,114 +228,177 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 6) -> np.ndarray:
 
 
 class ClassModel:
-    """``words`` maps the known words to (class, count); ``step[c, d]`` is log10 P(d | c)."""
+    """``words`` numbers the known words, whose classes are ``classes`` and counts ``counts``; ``step[c, d]`` is log10 P(d | c)."""
 
-    def __init__(self, words, step, size, other, end, train, distinct, ends, complete):
-        self.words, self.step, self.size, self.other, self.end = words, step, size, other, end
+    def __init__(self, top, size, other, end, train, distinct, ends, complete):
+        self.words = {w: i for i, w in enumerate(top.column("word").to_pylist())}
+        self.classes, self.counts = np.asarray(top.column("c"), np.int64), np.asarray(top.column("n"), np.int64)
+        self.size, self.other, self.end = size, other, end
         self.train, self.distinct, self.ends, self.complete = train, distinct, ends, complete
+        self.step = np.zeros((len(size), len(size)))
+
+    def learn(self, bigrams: np.ndarray) -> None:
+        """Step from one class to the next; after words without counts the classes come as often as anywhere."""
+        table_ = bigrams.astype(np.float64)
+        table_[self.other] = table_.sum(axis=0)
+        k = len(table_)
+        self.step = np.log10((table_ + 0.5) / (table_.sum(axis=1, keepdims=True) + 0.5 * k))
 
-    def emission(self, n: int, c: int) -> float:
-        """log10 probability of a word of count n in its class; unknown words share one added count of the rest."""
-        return log10((n + 1) / self.size[c])
+    def emission(self, n, c):
+        """log10 probability of words of counts n in their classes; unknown words share one added count."""
+        return np.log10((n + 1) / self.size[c])
 
-    def base(self, n: int) -> float:
-        return log10((n + 1) / (self.train + self.distinct + 1))
+    def base(self, n):
+        return np.log10((n + 1) / (self.train + self.distinct + 1))
 
 
-def train(texts: DataFrame, clustered: int = 600, classes: int = 24, known: int = 200_000, flush: int = 400_000) -> tuple[ClassModel, DataFrame]:
-    """The model and the table of all counts ``(word, n)`` from ``texts (text binary)``."""
+def fit_classes(texts: DataFrame, clustered: int = 600, classes: int = 24, known: int = 200_000, flush: int = 400_000) -> tuple[ClassModel, DataFrame]:
+    """The model, still without steps, and the table of all words ``(word, n, c)``, c their class, from ``texts (text binary)``."""
     spark = texts.sparkSession
     prepare(spark)
     counts = texts.select("text").mapInArrow(_count_words(flush), COUNTED).groupBy("word").agg(F.sum("n").alias("n"))
     counts = staged(counts, "word-counts")
     docs = texts.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(known).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    top = list(zip(top.column("word").to_pylist(), top.column("n").to_pylist()))
-    index = {w: i for i, (w, _) in enumerate(top[:clustered])}
+    top = counts.orderBy(F.desc("n"), "word").limit(clustered).collect()
+    index = {bytes(r["word"]): i for i, r in enumerate(sorted(top, key=lambda r: (-r["n"], bytes(r["word"]))))}
     wide = len(index) + 2
-    pairs = texts.select("text").mapInArrow(_count_pairs(index), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    matrix = np.zeros(wide * wide, np.int64)
-    matrix[np.asarray(pairs.column("pair"), np.int64)] = np.asarray(pairs.column("n"), np.int64)
-    matrix = matrix.reshape(wide, wide)
+    matrix = _square(texts.select("text").mapInArrow(_count_pairs(index), "pair bigint, n bigint"), wide)
     own = exchange(matrix, classes)
     k = int(own.max()) + 1
-    table_ = np.zeros((k, k))
-    np.add.at(table_, (own[:, None], own[None, :]), matrix)
+    start = np.zeros((k, k), np.int64)
+    np.add.at(start, (own[:, None], own[None, :]), matrix)
     other, end = int(own[-2]), int(own[-1])
-    step = np.log10((table_ + 0.5) / (table_.sum(axis=1, keepdims=True) + 0.5 * k))
-    words, members, sums = {}, np.zeros(k), np.zeros(k)
-    for i, (w, n) in enumerate(top):
-        c = int(own[i]) if i < len(index) else other
-        words[w] = (c, n)
-        if i < len(index):
-            members[c] += 1
-            sums[c] += n
-    members[other], sums[other] = distinct - len(index) + 1, total - sum(n for _, n in top[: len(index)])
-    members[end], sums[end] = 0, docs
+    beside = texts.select("text").mapInArrow(_count_contexts(index, own, flush), CONTEXTS)
+    beside = beside.repartition("word").sortWithinPartitions("word")
+    first = spark.createDataFrame([(r["word"], r["n"], int(own[index[bytes(r["word"])]])) for r in top], PLACED)
+    words = staged(beside.mapInArrow(_place(start), PLACED).union(first), "word-classes")
+    members, sums = np.zeros(k), np.zeros(k)
+    for r in words.groupBy("c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m")).collect():
+        members[r["c"]], sums[r["c"]] = r["m"], r["n"]
+    members[other], sums[end] = 1, docs
     size = np.maximum(sums + members, 1.0)
     size[end] = docs + 1
-    vocabulary = distinct + (1 if docs else 0)
-    return ClassModel(words, step, size, other, end, total + docs, vocabulary, docs, distinct <= len(top)), counts
+    top = words.orderBy(F.desc("n"), "word").limit(known).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    model = ClassModel(top, size, other, end, total + docs, distinct + (1 if docs else 0), docs, distinct <= top.num_rows)
+    return model, words
 
 
-def _score(shared):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: ClassModel = shared.value
-        # Per word: class, emission, base score, whether known; numbered as they come.
-        number: dict[bytes, int] = {}
-        facts: list[tuple[int, float, float, int]] = []
+def train(texts: DataFrame, **options) -> tuple[ClassModel, DataFrame]:
+    """The model and the table of all words ``(word, n, c)`` from ``texts (text binary)``; options as of ``fit_classes``."""
+    model, words = fit_classes(texts, **options)
+    rows = texts.select(F.lit(None).cast("string").alias("id"), F.lit(False).alias("flag"), "text")
+    model.learn(_class_bigrams(*read_texts(rows, model, words), model))
+    return model, words
+
+
+def _square(pairs: DataFrame, wide: int) -> np.ndarray:
+    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    matrix = np.zeros(wide * wide, np.int64)
+    matrix[np.asarray(found.column("pair"), np.int64)] = np.asarray(found.column("n"), np.int64)
+    return matrix.reshape(wide, wide)
 
-        def new(word: bytes) -> int:
-            c, n = m.words.get(word, (m.other, 0))
-            sure = word in m.words or m.complete
-            facts.append((c, m.emission(n, c) if sure else 0.0, m.base(n) if sure else 0.0, int(n > 0) if sure else -1))
-            number[word] = len(facts) - 1
-            return len(facts) - 1
 
+def _read(shared):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: ClassModel = shared.value
+        k, first, get = len(m.size), len(m.words), m.words.get
+        # By word number; the last entry is any word outside the table, -1 the class that the full table has to tell.
+        c = np.append(m.classes, m.other if m.complete else -1)
+        e = np.append(m.emission(m.counts, m.classes), m.emission(0, m.other) if m.complete else 0.0)
+        b = np.append(m.base(m.counts), m.base(0) if m.complete else 0.0)
+        end_base, end_known, end_emission = m.base(m.ends), int(m.ends > 0), m.emission(m.ends, m.end)
+        names = [f.split()[0] for f in READ.split(", ")]
         for piece in pieces(batches, "text"):
-            if len(number) > 500_000:
-                number.clear()
-                facts.clear()
-            get, rows, lists = number.get, [], []
-            for text in piece.column("text").to_pylist():
+            extra: dict[bytes, int] = {}
+            rows, outside = [], []
+            for text, row, i, flag in zip(*(piece.column(n).to_pylist() for n in ("text", "row", "id", "flag"))):
                 words = (text or b"").lower().split()
-                lists.append((words, np.array([new(w) if (i := get(w)) is None else i for w in words], np.int64)))
-            c = np.array([f[0] for f in facts] or [0], np.int64)
-            e, b = np.array([f[1] for f in facts] or [0.0]), np.array([f[2] for f in facts] or [0.0])
-            known = np.array([f[3] for f in facts] or [0], np.int64)
-            end_base, end_known = m.base(m.ends), int(m.ends > 0)
-            end_emission = m.emission(m.ends, m.end)
-            for (words, x), row, i, flag in zip(lists, *(piece.column(n).to_pylist() for n in ("row", "id", "flag"))):
-                path = np.concatenate([[m.end], c[x], [m.end]])
-                value = float(m.step[path[:-1], path[1:]].sum() + e[x].sum() + end_emission)
-                sure = known[x]
-                rows.append((row, i, flag, len(words) + 1, int((sure > 0).sum()) + end_known, float(b[x].sum() + end_base), value, None, None))
-                if (sure < 0).any():
-                    for w, n in Counter(w for w, s in zip(words, sure.tolist()) if s < 0).items():
-                        rows.append((row, None, None, None, None, None, None, w, n))
-            kinds = (pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
-            names = [f.split()[0] for f in SCORED.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=names)
-
-    return score
-
-
-def score_texts(rows: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
-    """``(id, flag, n_tokens, n_known, base_score, score, perplexity)`` for ``rows (id string, flag, text binary)``."""
+                x = np.array([extra.setdefault(w, first + len(extra)) if (n := get(w)) is None else n for w in words], np.int64)
+                at = np.minimum(x, first)
+                path = np.concatenate([[m.end], c[at], [m.end]])
+                sure = (path[:-1] >= 0) & (path[1:] >= 0)
+                pairs = (path[:-1] * k + path[1:])[sure].astype("<u4").tobytes()
+                rows.append((row, i, flag, len(x) + 1, int((x < first).sum()) + end_known, float(b[at].sum() + end_base), float(e[at].sum() + end_emission), pairs))
+                if not sure.all():
+                    open_ = np.flatnonzero(path < 0)
+                    outside.append((np.full(len(open_), row), np.full(len(open_), flag), x[open_ - 1] - first, open_, path[open_ - 1], path[open_ + 1]))
+            kinds = (pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            none = [pa.nulls(len(rows), t) for t in (pa.binary(), pa.int64(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)] + none, names=names)
+            if outside:
+                row, flag, word, place, before, after = (np.concatenate(v) for v in zip(*outside))
+                none = {n: pa.nulls(len(row), t) for n, t in zip(names, kinds)}
+                none |= {"row": pa.array(row), "flag": pa.array(flag), "word": pa.array(list(extra), pa.binary()).take(pa.array(word)), "place": pa.array(place)}
+                none |= {"before": pa.array(before.astype(np.int32)), "after": pa.array(after.astype(np.int32))}
+                yield pa.RecordBatch.from_arrays([none[n] for n in names], names=names)
+
+    return read
+
+
+def read_texts(rows: DataFrame, model: ClassModel, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(lines, places)`` of ``rows (id string, flag boolean, text binary)``, stored.
+
+    A line has the sums over the known words of a text and its ``pairs`` of classes. ``places (row, flag, n, c, before, after)``
+    are words outside the known ones with the classes beside them; of two such words in a row the first one has their pair.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(model)
     keyed = rows.select(F.monotonically_increasing_id().alias("row"), "id", "flag", "text")
-    made = keyed.mapInArrow(_score(shared), SCORED)
+    read = staged(keyed.mapInArrow(_read(shared), READ), "read-texts")
+    places = read.filter("word is not null").select("row", "flag", "word", "place", "before", "after")
+    lines = read.filter("word is null").drop("word", "place", "before", "after")
+    places = places.join(words, "word", "left").withColumns({"n": F.coalesce("n", F.lit(0)), "c": F.coalesce("c", F.lit(model.other))})
+    follows = F.lead("c").over(Window.partitionBy("row").orderBy("place"))
+    before, after = F.when(F.col("before") >= 0, F.col("before")), F.when(F.col("after") >= 0, F.col("after")).otherwise(follows)
+    places = places.select("row", "flag", "n", "c", before.alias("before"), after.alias("after"))
+    return lines, places if model.complete else staged(places, "read-places")
+
+
+def _count_codes(width: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, np.int64)
+        for batch in batches:
+            total += np.bincount(flat(batch.column("pairs"))[0].copy().view("<u4"), minlength=width)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
+
+    return count
+
+
+def _class_bigrams(lines: DataFrame, places: DataFrame, model: ClassModel) -> np.ndarray:
+    """Class bigrams of the rows without flag, every word in its class."""
+    k = len(model.size)
+    found = lines.filter("not flag").select("pairs").mapInArrow(_count_codes(k * k), "pair bigint, n bigint")
+    pairs = F.array(F.col("before") * k + F.col("c"), F.col("c") * k + F.col("after")).cast("array<bigint>")
+    rest = places.filter("not flag").select(F.explode(pairs).alias("pair"), F.lit(1).cast("bigint").alias("n")).filter("pair is not null")
+    return _square(found if model.complete else found.union(rest), k)
+
+
+def _add_steps(step: np.ndarray):
+    """Add the steps of its pairs to the score of each row."""
+    steps = step.ravel()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat(batch.column("pairs"))
+            sums = np.concatenate([[0.0], np.cumsum(steps[data.copy().view("<u4")])])[offsets // 4]
+            score = pa.array(np.asarray(batch.column("score")) + np.diff(sums))
+            yield batch.drop_columns(["pairs", "score"]).append_column("score", score)
+
+    return add
+
+
+def _scored(lines: DataFrame, places: DataFrame, model: ClassModel) -> DataFrame:
+    made = lines.mapInArrow(_add_steps(model.step), "row bigint, id string, flag boolean, n_tokens bigint, n_known bigint, base double, score double")
     if not model.complete:
-        made = staged(made, "scored-texts")
-        rest = made.filter("word is not null").select("row", "word", "times").join(counts, "word", "left")
-        n = F.coalesce("n", F.lit(0))
-        lift = lambda total: F.log10((n + 1) / F.lit(float(total))) * F.col("times")
-        rest = rest.groupBy("row").agg(
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more"), F.sum(lift(model.train + model.distinct + 1)).alias("b2"),
-            F.sum(lift(model.size[model.other])).alias("s2"),
+        n, c, k = F.col("n"), F.col("c"), len(model.size)
+        step, size = F.lit(model.step.ravel().tolist()), F.lit(model.size.tolist())
+        into, on = F.get(step, F.col("before") * k + c), F.get(step, c * k + F.col("after"))
+        rest = places.groupBy("row").agg(
+            F.sum((n > 0).cast("int")).alias("more"), F.sum(F.log10((n + 1) / F.lit(float(model.train + model.distinct + 1)))).alias("b2"),
+            F.sum(F.log10((n + 1) / F.get(size, c)) + F.coalesce(into, F.lit(0.0)) + F.coalesce(on, F.lit(0.0))).alias("s2"),
         )
-        made = made.filter("word is null").join(rest, "row", "left")
+        made = made.join(rest, "row", "left")
     else:
         made = made.withColumns({"more": F.lit(0), "b2": F.lit(0.0), "s2": F.lit(0.0)})
     value = F.col("score") + F.coalesce("s2", F.lit(0.0))
@@ -253,12 +409,24 @@ def score_texts(rows: DataFrame, model: ClassModel, counts: DataFrame) -> DataFr
     )
 
 
+def score_texts(rows: DataFrame, model: ClassModel, words: DataFrame) -> DataFrame:
+    """``(id, flag, n_tokens, n_known, base_score, score, perplexity)`` for ``rows (id string, flag, text binary)``."""
+    return _scored(*read_texts(rows, model, words), model)
+
+
+def train_and_score(rows: DataFrame) -> tuple[ClassModel, DataFrame]:
+    """``train`` on the rows without flag and ``score_texts`` of all rows, which are read with their classes once for both."""
+    model, words = fit_classes(rows.filter(~F.col("flag")))
+    lines, places = read_texts(rows, model, words)
+    model.learn(_class_bigrams(lines, places, model))
+    return model, _scored(lines, places, model)
+
+
 def op4_class_model(spark, folder):
     docs = table(spark, folder, "documents")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), out.alias("flag"), F.col("text").cast("binary").alias("text"))
-    model, counts = train(rows.filter(~F.col("flag")))
-    scored = score_texts(rows, model, counts)
+    model, scored = train_and_score(rows)
     return scored.select(
         F.col("id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("flag").alias("held_out"), "n_tokens", "n_known",
         F.lit(int(model.train)).cast("bigint").alias("train_tokens"), "base_score", "score", "perplexity",

@@ -317,3 +317,30 @@ def test_written_shards_hold_all_texts(spark, folder, tmp_path):
 def test_held_out_is_crc_of_the_id(spark):
     rows = spark.range(50).select(F.col("id"), language_id.held_out("id").alias("out")).collect()
     assert all(r["out"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in rows)
+
+
+def test_class_model_puts_every_word_into_a_class(spark):
+    rng = random.Random(8)
+    nouns, verbs = [f"n{i}" for i in range(60)], [f"v{i}" for i in range(60)]
+    skew = lambda words: words[min(int(rng.expovariate(0.15)), 59)]
+    texts = [" ".join(skew((nouns, verbs)[i % 2]) for i in range(40)) for _ in range(300)]
+    rows = frame(spark, texts).select(F.col("doc_id").cast("string").alias("id"), F.lit(False).alias("flag"), F.col("text").cast("binary").alias("text"))
+    counts = Counter(w for t in texts for w in t.split())
+    got = []
+    for known in (5, 100_000):
+        model, words = class_model.train(rows, clustered=20, classes=2, known=known)
+        found = {r["word"].decode(): (r["n"], r["c"]) for r in words.collect()}
+        assert {w: n for w, (n, _) in found.items()} == counts
+        kinds = [{c for w, (_, c) in found.items() if w[0] == k} for k in "nv"]
+        assert len(kinds[0]) == len(kinds[1]) == 1 and kinds[0] != kinds[1]
+        of = lambda w: found[w][1]
+        paths = [[model.end, *map(of, t.split()), model.end] for t in texts]
+        steps = Counter(p for path in paths for p in zip(path, path[1:]))
+        for a in {a for a, _ in steps}:
+            line = [steps[a, d] for d in range(4)]
+            assert model.step[a] == pytest.approx([math.log10((n + 0.5) / (sum(line) + 2)) for n in line])
+        got.append({r["id"]: r["score"] for r in class_model.score_texts(rows, model, words).collect()})
+        for i, (t, path) in enumerate(zip(texts, paths)):
+            sizes = sum(math.log10((counts[w] + 1) / model.size[of(w)]) for w in t.split()) + math.log10(301 / 301)
+            assert got[-1][str(i)] == pytest.approx(sizes + sum(model.step[a, b] for a, b in zip(path, path[1:])))
+    assert got[0] == pytest.approx(got[1])
