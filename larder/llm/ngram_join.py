@@ -12,8 +12,10 @@ are indexed as well, so nothing is lost).
 
 Keys are only filters: they are dealt to buckets, and documents that share a key are a group. The pairs of
 groups of up to ``SMALL`` documents are candidates; larger groups are compared through their smallest member, then, where
-members are still in different components, across those. Pairs already in one component need no
-comparison. A comparison intersects the whole sets. Documents with equal texts are linked with the smallest of
+members are still in different components, across those. There each member comes with a sketch, the number of its tokens in
+each of 64 to 2048 hashed bins: two sets differ in at least as many tokens as their sketches do, so a pair whose sketches are
+too far apart cannot be linked and never leaves its task; a group is met in blocks of up to ``BLOCK`` members. Pairs already in
+one component need no comparison. A comparison of the pairs left intersects the whole sets. Documents with equal texts are linked with the smallest of
 them and indexed once. A group that is large inside one task goes on as one row there, so a key that a third
 of all documents share stays small in its bucket.
 
@@ -42,7 +44,9 @@ from larder.session import staged
 SEEDS = 12
 SMALL = 4  # groups of so many documents are compared pair by pair, larger ones through their smallest member first
 SIZE, MEMBER, PAIR, KEYS = range(4)
-WIDE_HOT, WIDE_RATE = 1000.0, 0.3  # candidates expected from a key of no tokens, and the share left by each token
+BLOCK = 1024  # members of a large group that meet as many others in one task
+CELLS = 1 << 23  # differences of sketch bins held at once
+WIDE_HOT, WIDE_RATE = 10.0, 0.3  # candidates expected from a key of no tokens, and the share left by each token
 DEALT = "kind int, bucket int, id bigint, n bigint, keys binary, ids binary"
 FOUND = "kind int, id bigint, n bigint"
 
@@ -255,6 +259,86 @@ def _linked(percent: int, width: int):
     return linked
 
 
+def _sketches(width: int):
+    """Size and sketch of each text's set; counts stop at 255, which never makes a difference larger."""
+
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            words.renew()
+            sizes, bins = [], []
+            for text in batch.column("text").to_pylist():
+                tokens = shingles(words, text, width)
+                n = 1 << min(max(len(tokens).bit_length(), 6), 11)
+                sizes.append(len(tokens))
+                bins.append(np.minimum(np.bincount((tokens % U(n)).astype(np.int64), minlength=n), 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(bins, pa.binary())], names=["id", "n", "bins"])
+
+    return sketches
+
+
+def near_pairs(percent: int, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, bins: list[bytes], left: np.ndarray, right: np.ndarray):
+    """Pairs of a left and a right row with different labels whose sketches let them meet the threshold."""
+    width = min(map(len, bins))
+    table_ = np.array([np.frombuffer(b, np.uint8).reshape(-1, width).sum(axis=0) for b in bins], np.int32)
+    step = max(1, CELLS // (width * len(right)))
+    for at in range(0, len(left), step):
+        rows = left[at : at + step]
+        apart = np.abs(table_[rows][:, None, :] - table_[right][None, :, :]).sum(axis=2)
+        both = sizes[rows][:, None] + sizes[right][None, :]
+        common = (both - apart) // 2
+        x, y = np.nonzero((100 * common >= percent * (both - common)) & (labels[rows][:, None] != labels[right][None, :]))
+        a, b = ids[rows[x]], ids[right[y]]
+        yield np.minimum(a, b), np.maximum(a, b)
+
+
+def _near(percent: int):
+    """Of each block of a group: its pairs that may be linked. Rows come by group and block."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def block(rows: pa.Table) -> None:
+            x, y, own = (np.asarray(rows.column(c)) for c in ("x", "y", "own"))
+            ids, labels, sizes = (np.asarray(rows.column(c)) for c in ("id", "c", "n"))
+            left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+            if len(left) and len(right):
+                found.extend(near_pairs(percent, ids, labels, sizes, rows.column("bins").to_pylist(), left, right))
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            a, b = _distinct(*(np.concatenate(v) for v in zip(*found))) if found else (np.empty(0, np.int64),) * 2
+            found.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        def key(batch: pa.RecordBatch, row: int) -> tuple:
+            return tuple(batch.column(c)[row].as_py() for c in ("g", "x", "y"))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and key(held[-1], 0) != key(batch, 0):
+                block(pa.Table.from_batches(held))
+                held.clear()
+            new = np.zeros(batch.num_rows, bool)
+            for c in ("g", "x", "y"):
+                v = np.asarray(batch.column(c))
+                new[1:] |= v[1:] != v[:-1]
+            cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                held.append(batch.slice(a, b - a))
+                if b < batch.num_rows:
+                    block(pa.Table.from_batches(held))
+                    held.clear()
+            if sum(len(a) for a, _ in found) > 300_000:
+                yield from flush()
+        if held:
+            block(pa.Table.from_batches(held))
+        yield from flush()
+
+    return near
+
+
 def _sent(keys: DataFrame, most: int) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
@@ -285,6 +369,7 @@ def similarity_groups(
     )
     names = plain.filter("worded AND id IS NOT NULL").select("id", "tag", F.unhex(F.md5("text")).alias("m"))
     firsts = names.groupBy("m").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("m", "first")
+    firsts = _sent(staged(firsts, "repeated-texts"), broadcast_ids)  # sent, a text with many copies does not go to one task
     copies = staged(names.join(firsts, "m").filter("id > first").select("id", "tag", "first").distinct(), "equal-texts")
     marks = _sent(copies.select("id", "tag", F.lit(True).alias("copy")).distinct(), broadcast_ids)
     read = plain.join(marks, ["id", "tag"], "left").select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
@@ -333,10 +418,24 @@ def similarity_groups(
     own = sets.groupBy("x", "y", "n").agg(F.min("g").alias("g")).select("g")
     open_ = staged(named.join(own, "g"), "open-groups")
     if open_.limit(1).count():
-        left, right = open_.withColumnsRenamed({"id": "a", "c": "ca"}), open_.withColumnsRenamed({"id": "b", "c": "cb"})
-        across = left.join(right, "g").filter("a < b AND ca <> cb").select("a", "b").distinct()
-        links = links.union(verified(staged(across.join(pairs, ["a", "b"], "left_anti"), "pairs-across")))
+        # Block x against block y of a group: a member of block h comes once for each other block and once for its own.
+        wide = open_.groupBy("g").count().select("g", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+        dealt = open_.join(wide, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("g", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "id", "c")
+        inside = texts.join(open_.select("id").distinct(), "id", "left_semi")
+        inside = staged(inside.mapInArrow(_sketches(width), "id bigint, n bigint, bins binary"), "sketches")
+        met = dealt.join(inside, "id").repartition("g", "x", "y").sortWithinPartitions("g", "x", "y")
+        across = staged(met.mapInArrow(_near(percent), "a bigint, b bigint").distinct(), "near-pairs")
+        across = staged(across.join(pairs, ["a", "b"], "left_anti"), "pairs-across")
+        # As before: the smallest partner first, then what is still apart.
+        nearest = staged(across.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs-across")
+        links = links.union(verified(nearest))
         labels = components(links)
+        rest = staged(apart(across.join(nearest, ["a", "b"], "left_anti"), labels), "further-pairs-across")
+        if rest.limit(1).count():
+            links = links.union(verified(rest))
+            labels = components(links)
     rows = sizes.join(labels.withColumnRenamed("id", "lid"), F.col("id") == F.col("lid"), "left")
     return rows.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")), links
 

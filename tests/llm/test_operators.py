@@ -344,3 +344,60 @@ def test_class_model_puts_every_word_into_a_class(spark):
             sizes = sum(math.log10((counts[w] + 1) / model.size[of(w)]) for w in t.split()) + math.log10(301 / 301)
             assert got[-1][str(i)] == pytest.approx(sizes + sum(model.step[a, b] for a, b in zip(path, path[1:])))
     assert got[0] == pytest.approx(got[1])
+
+
+def family(seed: int, n: int, words: int, changed: int) -> list[str]:
+    """Copies of one text with some words changed: alike, but mostly below the threshold of each other."""
+    rng = random.Random(seed)
+    base, out = [f"b{i}" for i in range(words)], []
+    for k in range(n):
+        copy = list(base)
+        for i in rng.sample(range(words), changed):
+            copy[i] = f"c{k}x{i}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_sketches_keep_every_linked_pair_and_few_others():
+    rng = np.random.default_rng(3)
+    words = ngram_join.Words()
+    texts = [t.encode() for t in family(2, 60, 200, 9) + family(2, 20, 200, 2)]
+    sets = [ngram_join.shingles(words, t, 4) for t in texts]
+    batch = ngram_join.pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    rows = next(ngram_join._sketches(4)(iter([batch])))
+    order = rng.permutation(len(texts))
+    labels = np.zeros(len(texts), np.int64)
+    labels[1:] = np.arange(1, len(texts))
+    found = set()
+    for a, b in ngram_join.near_pairs(85, np.arange(len(texts)), labels, np.asarray(rows.column("n")), rows.column("bins").to_pylist(), order[:50], order):
+        found |= set(zip(a.tolist(), b.tolist()))
+    linked = set()
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common) and {a, b} & set(order[:50].tolist()):
+                linked.add((a, b))
+    assert linked and linked <= found and len(found) < 200  # of about 2700 pairs
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_ngram_join_compares_few_pairs_of_a_group_below_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    staged, made = ngram_join.staged, {}
+
+    def counted(df, name):
+        out = staged(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    texts = family(5, 60, 200, 8) + family(6, 12, 200, 2)
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split() for t in texts)]
+    edges = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    root = list(range(len(texts)))
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["id"]: r["component_id"] for r in ngram_join.similarity_groups(frame(spark, texts), width=4, percent=85)[0].collect()}
+    assert got == dict(enumerate(root))
+    assert made["open-groups"] > 0 and made["pairs-across"] < 200  # of 1770 pairs in the large family
