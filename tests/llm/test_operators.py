@@ -401,3 +401,11 @@ def test_ngram_join_compares_few_pairs_of_a_group_below_the_threshold(spark, mon
     got = {r["id"]: r["component_id"] for r in ngram_join.similarity_groups(frame(spark, texts), width=4, percent=85)[0].collect()}
     assert got == dict(enumerate(root))
     assert made["open-groups"] > 0 and made["pairs-across"] < 200  # of 1770 pairs in the large family
+
+
+def test_keys_of_five_word_shingles_are_fewer_than_the_shingles():
+    rng = np.random.default_rng(2)
+    sizes = np.array([60, 150, 240, 400, 900, 3000] * 3)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in sizes]
+    for percent in (80, 85):
+        assert len(ngram_join.Partition(percent).keys(sets, sizes)[0]) < sizes.sum()
