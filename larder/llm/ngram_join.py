@@ -12,9 +12,9 @@ are indexed as well, so nothing is lost).
 
 Keys are only filters: they are dealt to buckets, and documents that share a key are a group. The pairs of
 groups of up to ``SMALL`` documents are candidates; larger groups are compared through their smallest member, then, where
-members are still in different components, across those. There each member comes with a sketch, the number of its tokens in
-each of 64 to 2048 hashed bins: two sets differ in at least as many tokens as their sketches do, so a pair whose sketches are
-too far apart cannot be linked and never leaves its task; a group is met in blocks of up to ``BLOCK`` members. Pairs already in
+members are still in different components, across those, in blocks of up to ``BLOCK`` members. Every candidate comes with a sketch
+first, the number of its tokens in each of 64 to 2048 hashed bins: two sets differ in at least as many tokens as their sketches do,
+so a pair whose sketches are too far apart cannot be linked and its texts are never read or shuffled. Pairs already in
 one component need no comparison. A comparison of the pairs left intersects the whole sets. Documents with equal texts are linked with the smallest of
 them and indexed once. A group that is large inside one task goes on as one row there, so a key that a third
 of all documents share stays small in its bucket.
@@ -38,14 +38,16 @@ from pyspark.sql import functions as F
 
 from larder.llm.arrays import ODD, U, Words, by_bucket, mixed, pieces, planes, runs, unplaned
 from larder.llm.common import LOWER, UPPER, WORD, prepare, table
-from larder.llm.graph import components
+from larder.llm.graph import components, few
 from larder.session import staged
 
 SEEDS = 12
 SMALL = 4  # groups of so many documents are compared pair by pair, larger ones through their smallest member first
 SIZE, MEMBER, PAIR, KEYS = range(4)
 BLOCK = 1024  # members of a large group that meet as many others in one task
+FEW = 64  # groups of up to so many members are met many at once
 CELLS = 1 << 23  # differences of sketch bins held at once
+SENT_SKETCHES, SENT_BYTES = 20_000, 32 << 20  # sketches, and bytes of texts, that are sent to the tasks instead of being dealt by id
 WIDE_HOT, WIDE_RATE = 10.0, 0.3  # candidates expected from a key of no tokens, and the share left by each token
 DEALT = "kind int, bucket int, id bigint, n bigint, keys binary, ids binary"
 FOUND = "kind int, id bigint, n bigint"
@@ -292,6 +294,39 @@ def near_pairs(percent: int, ids: np.ndarray, labels: np.ndarray, sizes: np.ndar
         yield np.minimum(a, b), np.maximum(a, b)
 
 
+def may_link(percent: int, sizes: np.ndarray, bins: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of each pair of row numbers: whether sizes and sketches let it meet the threshold."""
+    least, most = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
+    out = 100 * least >= percent * most
+    lengths = np.array([len(b) for b in bins], np.int64)
+    narrow = np.minimum(lengths[left], lengths[right])
+    for width in np.unique(narrow[out]).tolist():
+        at = np.flatnonzero(out & (narrow == width))
+        step = max(1, CELLS // (4 * width))
+        for k in range(0, len(at), step):
+            some = at[k : k + step]
+            use, place = np.unique(np.concatenate([left[some], right[some]]), return_inverse=True)
+            table_ = np.array([np.frombuffer(bins[u], np.uint8).reshape(-1, width).sum(axis=0) for u in use.tolist()], np.int32)
+            apart = np.abs(table_[place[: len(some)]] - table_[place[len(some) :]]).sum(axis=1)
+            both = sizes[left[some]] + sizes[right[some]]
+            common = (both - apart) // 2
+            out[some] = 100 * common >= percent * (both - common)
+    return out
+
+
+def _close(percent: int):
+    """Pairs whose sketches let them meet the threshold."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = np.arange(batch.num_rows)
+            sizes = np.concatenate([np.asarray(batch.column(c)) for c in ("na", "nb")])
+            bins = batch.column("ba").to_pylist() + batch.column("bb").to_pylist()
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(percent, sizes, bins, n, n + len(n))))
+
+    return close
+
+
 def _near(percent: int):
     """Of each block of a group: its pairs that may be linked. Rows come by group and block."""
 
@@ -303,8 +338,35 @@ def _near(percent: int):
             x, y, own = (np.asarray(rows.column(c)) for c in ("x", "y", "own"))
             ids, labels, sizes = (np.asarray(rows.column(c)) for c in ("id", "c", "n"))
             left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-            if len(left) and len(right):
-                found.extend(near_pairs(percent, ids, labels, sizes, rows.column("bins").to_pylist(), left, right))
+            if not len(left) or not len(right):
+                return
+            bins = rows.column("bins").to_pylist()
+            step = max(1, CELLS // len(right))
+            for at in range(0, len(left), step):
+                some = left[at : at + step]
+                differ = labels[some][:, None] != labels[right][None, :]
+                if 8 * np.count_nonzero(differ) > differ.size:
+                    found.extend(near_pairs(percent, ids, labels, sizes, bins, some, right))
+                    continue
+                i, j = np.nonzero(differ)
+                stay = may_link(percent, sizes, bins, some[i], right[j])
+                a, b = ids[some[i[stay]]], ids[right[j[stay]]]
+                found.append((np.minimum(a, b), np.maximum(a, b)))
+
+        def small(rows: pa.RecordBatch, group: np.ndarray) -> None:
+            """Groups of one block each, all in one go: rows that are 1, 2, ... places apart in one group."""
+            ids, labels, sizes = (np.asarray(rows.column(c)) for c in ("id", "c", "n"))
+            pairs = [(np.empty(0, np.int64),) * 2]
+            for gap in range(1, FEW):
+                same = group[gap:] == group[:-gap]
+                if not same.any():
+                    break
+                left = np.flatnonzero(same & (labels[gap:] != labels[:-gap]))
+                pairs.append((left, left + gap))
+            left, right = (np.concatenate(v) for v in zip(*pairs))
+            stay = may_link(percent, sizes, rows.column("bins").to_pylist(), left, right)
+            a, b = ids[left[stay]], ids[right[stay]]
+            found.append((np.minimum(a, b), np.maximum(a, b)))
 
         def flush() -> Iterator[pa.RecordBatch]:
             a, b = _distinct(*(np.concatenate(v) for v in zip(*found))) if found else (np.empty(0, np.int64),) * 2
@@ -325,11 +387,18 @@ def _near(percent: int):
                 v = np.asarray(batch.column(c))
                 new[1:] |= v[1:] != v[:-1]
             cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            whole = np.asarray(batch.column("blocks")) == 1
+            few, number = np.zeros(batch.num_rows, bool), np.cumsum(new)
             for a, b in zip(cuts, cuts[1:]):
+                if not held and b < batch.num_rows and b - a <= FEW and whole[a]:
+                    few[a:b] = True
+                    continue
                 held.append(batch.slice(a, b - a))
                 if b < batch.num_rows:
                     block(pa.Table.from_batches(held))
                     held.clear()
+            if few.any():
+                small(batch.filter(pa.array(few)), number[few])
             if sum(len(a) for a, _ in found) > 300_000:
                 yield from flush()
         if held:
@@ -361,82 +430,89 @@ def similarity_groups(
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(256, 4 * deals)
     # Keys as wide as keeps chance candidates rare at any size: one in 2**15 keys, whose number is about that of the bytes.
-    size = docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
-    bits = min(62, max(32, size.bit_length() + 14))
+    size, n = docs.agg(F.sum(F.octet_length(text_col).cast("bigint")), F.count(F.lit(1))).first()
+    bits = min(62, max(32, (size or 0).bit_length() + 14))
     plain = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.pmod(F.xxhash64(text_col), F.lit(1 << 16)).cast("int").alias("tag"),
         F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(text_col).rlike(WORD), F.lit(False)).alias("worded"),
     )
     names = plain.filter("worded AND id IS NOT NULL").select("id", "tag", F.unhex(F.md5("text")).alias("m"))
     firsts = names.groupBy("m").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("m", "first")
-    firsts = _sent(staged(firsts, "repeated-texts"), broadcast_ids)  # sent, a text with many copies does not go to one task
-    copies = staged(names.join(firsts, "m").filter("id > first").select("id", "tag", "first").distinct(), "equal-texts")
-    marks = _sent(copies.select("id", "tag", F.lit(True).alias("copy")).distinct(), broadcast_ids)
+    firsts = _sent(staged(few(firsts, n), "repeated-texts"), broadcast_ids)  # sent, a text with many copies does not go to one task
+    copies = staged(few(names.join(firsts, "m").filter("id > first").select("id", "tag", "first").distinct(), n), "equal-texts")
+    marks = _sent(few(copies.select("id", "tag", F.lit(True).alias("copy")).distinct(), n), broadcast_ids)
     read = plain.join(marks, ["id", "tag"], "left").select("id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
-    dealt = read.mapInArrow(_deal(percent, width, buckets, bits), DEALT).repartition(min(buckets, 4 * deals), "bucket").sortWithinPartitions("kind", "bucket")
+    dealt = read.mapInArrow(_deal(percent, width, buckets, bits), DEALT).repartition(deals, "bucket").sortWithinPartitions("kind", "bucket")
     found = staged(dealt.mapInArrow(_groups(buckets), FOUND), "set-keys")
     sizes = found.filter(f"kind = {SIZE}").select("id", F.col("n").alias("n_shingles"))
-    members = found.filter(f"kind = {MEMBER}").select(F.col("n").alias("g"), "id").distinct()
+    n_member, n_pair = found.agg(*[F.count_if(F.col("kind") == kind) for kind in (MEMBER, PAIR)]).first()
+    members = staged(few(found.filter(f"kind = {MEMBER}").select(F.col("n").alias("g"), "id").distinct(), n_member), "members")
 
-    hubs = members.groupBy("g").agg(F.min("id").alias("a"))
+    hubs = _sent(staged(few(members.groupBy("g").agg(F.min("id").alias("a")), n_member), "hubs"), broadcast_ids)
     stars = members.join(hubs, "g").filter("a <> id").select("a", F.col("id").alias("b"))
     small = found.filter(f"kind = {PAIR}").select(F.col("id").alias("a"), F.col("n").alias("b"))
-    pairs = staged(small.union(stars).distinct(), "set-pairs")
-    ids = pairs.select("a").union(pairs.select("b")).union(members.select("id")).distinct().withColumnRenamed("a", "cid")
-    texts = plain.filter("worded").join(_sent(staged(ids, "candidates"), broadcast_ids), F.col("id") == F.col("cid"), "left_semi")
-    texts = staged(texts.select("id", "text").distinct(), "candidate-texts")
-
-    def verified(some: DataFrame) -> DataFrame:
-        right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-        left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-        hubs = some.select("a").distinct()
-        left = left.join(hubs, "a", "left_semi")
-        rows = some.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-        return staged(rows.mapInArrow(_linked(percent, width), "a bigint, b bigint").distinct(), "set-links")
-
-    def apart(some: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components so far."""
-        la, lb = labels.toDF("ia", "ca"), labels.toDF("ib", "cb")
-        rows = some.join(la, F.col("a") == F.col("ia"), "left").join(lb, F.col("b") == F.col("ib"), "left")
-        return rows.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    # The smallest partner of each document connects most groups; then what is still apart is compared.
-    nearest = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    met = staged(few(small.union(stars).distinct(), n_pair + n_member), "set-pairs")
+    ids = met.select("a").union(met.select("b")).union(members.select("id")).distinct().withColumnRenamed("a", "cid")
+    worded = plain.filter("worded").select("id", "text")
+    ids = staged(few(ids, n), "candidates")
+    inside = worded.join(_sent(ids, broadcast_ids), F.col("id") == F.col("cid"), "left_semi")
+    sketches = inside.mapInArrow(_sketches(width), "id bigint, n bigint, bins binary").distinct()
+    sketches = _sent(staged(few(sketches, ids.count(), 2048), "sketches"), SENT_SKETCHES)
+    right = met.join(sketches.toDF("b", "nb", "bb"), "b")
+    near = right.join(sketches.toDF("a", "na", "ba"), "a").select("a", "b", "na", "ba", "nb", "bb")
+    pairs = staged(few(near.mapInArrow(_close(percent), "a bigint, b bigint").distinct(), met.count()), "near-set-pairs")
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        ids = some.select("a").union(some.select("b")).distinct().withColumnRenamed("a", "cid")
+        ids = staged(few(ids, 2 * some.count()), "compared")
+        kept = worded.join(_sent(ids, broadcast_ids), F.col("id") == F.col("cid"), "left_semi")
+        kept = staged(few(kept.distinct(), ids.count(), 256), "candidate-texts")
+        return F.broadcast(kept) if (kept.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0) <= SENT_BYTES else kept
+
+    def verified(some: DataFrame, texts: DataFrame) -> DataFrame:
+        rows = some.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
+        rows = rows.mapInArrow(_linked(percent, width), "a bigint, b bigint").distinct()
+        return staged(few(rows, some.count()), "set-links")
+
+    def connected(links: DataFrame, some: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links and labels after a comparison of ``some``: the smallest partner of each document first, as it connects most groups, then what is still apart."""
+        texts = texts_of(some)
+        nearest = staged(few(some.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), some.count(), 256), "first-pairs")
+        links = links.union(verified(nearest, texts))
+        labels = components(links, broadcast_ids)
+        la, lb = (_sent(labels.toDF(*c), broadcast_ids) for c in (("ia", "ca"), ("ib", "cb")))
+        rest = some.join(_sent(nearest, broadcast_ids), ["a", "b"], "left_anti")
+        rest = rest.join(la, F.col("a") == F.col("ia"), "left").join(lb, F.col("b") == F.col("ib"), "left")
+        rest = staged(rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "further-pairs")
+        more = verified(rest, texts) if rest.limit(1).count() else rest
+        if more.limit(1).count():
+            links = links.union(more)
+            labels = components(links, broadcast_ids)
+        return links, labels
+
     equal = copies.select(F.col("first").alias("a"), F.col("id").alias("b"))
-    links = equal.union(verified(nearest))
-    labels = components(links)
-    rest = staged(apart(pairs.join(nearest, ["a", "b"], "left_anti"), labels), "further-pairs")
-    if rest.limit(1).count():
-        links = links.union(verified(rest))
-        labels = components(links)
-    named = members.join(labels, "id", "left").select("g", "id", F.coalesce("component", "id").alias("c"))
-    split = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("g")
+    links, labels = connected(equal, pairs)
+    named = members.join(_sent(labels, broadcast_ids), "id", "left").select("g", "id", F.coalesce("component", "id").alias("c"))
     # Of groups with the same members one is enough; the sets of members are told apart by 128 bits.
-    sets = named.join(split, "g").groupBy("g").agg(
-        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"), F.count(F.lit(1)).alias("n")
-    )
-    own = sets.groupBy("x", "y", "n").agg(F.min("g").alias("g")).select("g")
+    sets = named.groupBy("g").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"), F.count(F.lit(1)).alias("n"),
+    ).filter("lo <> hi")
+    own = few(few(sets, n_member).groupBy("x", "y", "n").agg(F.min("g").alias("g")), n_member).select("g", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = _sent(staged(own, "split-groups"), broadcast_ids)
     open_ = staged(named.join(own, "g"), "open-groups")
     if open_.limit(1).count():
         # Block x against block y of a group: a member of block h comes once for each other block and once for its own.
-        wide = open_.groupBy("g").count().select("g", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-        dealt = open_.join(wide, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        dealt = open_.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("g", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "id", "c")
-        inside = texts.join(open_.select("id").distinct(), "id", "left_semi")
-        inside = staged(inside.mapInArrow(_sketches(width), "id bigint, n bigint, bins binary"), "sketches")
-        met = dealt.join(inside, "id").repartition("g", "x", "y").sortWithinPartitions("g", "x", "y")
-        across = staged(met.mapInArrow(_near(percent), "a bigint, b bigint").distinct(), "near-pairs")
-        across = staged(across.join(pairs, ["a", "b"], "left_anti"), "pairs-across")
-        # As before: the smallest partner first, then what is still apart.
-        nearest = staged(across.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs-across")
-        links = links.union(verified(nearest))
-        labels = components(links)
-        rest = staged(apart(across.join(nearest, ["a", "b"], "left_anti"), labels), "further-pairs-across")
-        if rest.limit(1).count():
-            links = links.union(verified(rest))
-            labels = components(links)
-    rows = sizes.join(labels.withColumnRenamed("id", "lid"), F.col("id") == F.col("lid"), "left")
+        dealt = dealt.select("g", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "blocks", "id", "c")
+        dealt = dealt.join(sketches, "id").repartition("g", "x", "y").sortWithinPartitions("g", "x", "y")
+        across = staged(few(dealt.mapInArrow(_near(percent), "a bigint, b bigint").distinct(), n_member), "near-pairs")
+        across = staged(across.join(_sent(pairs, broadcast_ids), ["a", "b"], "left_anti"), "pairs-across")
+        if across.limit(1).count():
+            links, labels = connected(links, across)
+    named = _sent(labels.withColumnRenamed("id", "lid"), broadcast_ids)
+    rows = sizes.join(named, F.col("id") == F.col("lid"), "left")
     return rows.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")), links
 
 
