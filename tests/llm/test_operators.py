@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import (
-    class_model, decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, quality_rules, sharding, substring_dedup,
+    class_model, decontaminate, graph, language_id, license_scan, line_dedup, mixing, ngram_join, quality_rules, sharding, substring_dedup,
 )
 from larder.llm.graph import components
 
@@ -403,6 +403,74 @@ def test_ngram_join_compares_few_pairs_of_a_group_below_the_threshold(spark, mon
     assert made["open-groups"] > 0 and made["pairs-across"] < 200  # of 1770 pairs in the large family
 
 
+def test_ngram_join_reads_texts_only_of_pairs_whose_sketches_are_near(spark, monkeypatch):
+    staged, made = ngram_join.staged, {}
+
+    def counted(df, name):
+        out = staged(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    texts = family(5, 60, 200, 8) + family(6, 12, 200, 2)
+    got = {r["id"]: r["component_id"] for r in ngram_join.similarity_groups(frame(spark, texts), width=4, percent=85)[0].collect()}
+    assert all(got[i] == i for i in range(60)) and made["set-pairs"] > 60
+    assert made["candidate-texts"] <= 24  # those of the second family, read for at most two comparisons
+
+
+def test_small_groups_met_together_keep_every_linked_pair(monkeypatch):
+    texts = [t.encode() for t in family(2, 40, 200, 2) + family(3, 30, 60, 1) + family(4, 20, 900, 9)]
+    rows = next(ngram_join._sketches(4)(iter([ngram_join.pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})])))
+    rng, member = np.random.default_rng(1), []
+    for g in range(40):
+        member += [(g, i) for i in sorted(rng.choice(len(texts), int(rng.integers(2, 30)), replace=False).tolist())]
+    g, i = (np.array(v, np.int64) for v in zip(*member))
+    zero = np.zeros(len(g), np.int32)
+    columns = {"g": g, "x": zero, "y": zero, "own": zero, "blocks": zero + 1, "id": i, "c": i // 3, "n": np.asarray(rows.column("n"))[i]}
+    columns["bins"] = [rows.column("bins")[k].as_py() for k in i.tolist()]
+    table = ngram_join.pa.table(columns)
+
+    def met(most):
+        monkeypatch.setattr(ngram_join, "FEW", most)
+        out = ngram_join.pa.Table.from_batches(ngram_join._near(85)(iter(table.to_batches(max_chunksize=50))))
+        return set(zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
+
+    words, linked = ngram_join.Words(), set()
+    sets = [ngram_join.shingles(words, t, 4) for t in texts]
+    for k in range(40):
+        own = i[g == k].tolist()
+        for a, b in ((a, b) for a in own for b in own if a < b and a // 3 != b // 3):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+                linked.add((a, b))
+    together = met(64)
+    assert linked and linked <= together <= met(0)  # a block takes the shortest sketch for all its pairs
+
+
+def test_few_rows_take_few_tasks(spark, monkeypatch):
+    staged, files = graph.staged, {}
+
+    def counted(df, name):
+        out = staged(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "staged", counted)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    edges = spark.createDataFrame([(i, i + 1) for i in range(100)], "a bigint, b bigint")
+    try:
+        for n, v in zip(names, ("40", "false")):
+            spark.conf.set(n, v)
+        got = {r["id"]: r["component"] for r in components(edges).collect()}
+        joined = {r["id"]: r["component"] for r in components(edges, broadcast_ids=0).collect()}
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert got == joined == {i: 0 for i in range(101)}
+    assert files == {"links": 1, "labels": 1}
+
+
 def test_keys_of_five_word_shingles_are_fewer_than_the_shingles():
     rng = np.random.default_rng(2)
     sizes = np.array([60, 150, 240, 400, 900, 3000] * 3)
