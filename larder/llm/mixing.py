@@ -20,14 +20,18 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import WORD, count_words, hex_number, table
 from larder.session import staged
 
 OUTPUT = ("size", "source_size", "target", "copies")
-PLAN = "__mix_source string, __mix_s int, source_size bigint, target double, __mix_rate double, __mix_u double"
+PLAN = pa.schema([
+    ("__mix_source", pa.string()), ("__mix_s", pa.int32()), ("source_size", pa.int64()), ("target", pa.float64()),
+    ("__mix_rate", pa.float64()), ("__mix_u", pa.float64()),
+])
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...], cap: int) -> list[tuple[float, float]]:
@@ -57,6 +61,11 @@ def size_class(size: Column) -> Column:
     return (bits * 16 + top).cast("bigint")
 
 
+def planned(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """The sources' rows as a local table: its size is known, so it is sent to the documents, and no Python worker has to unpack it."""
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(PLAN.names, r)) for r in rows], schema=PLAN))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -90,7 +99,7 @@ def mix(
         start = int(hashlib.md5(name.encode()).hexdigest()[:8], 16) / 4294967296.0
         rate = min(float(cap), target / row["words"]) if row["words"] else 0.0
         plan.append((row["__mix_source"], i, row["words"], float(target), rate, start))
-    sources = spark.createDataFrame(plan, PLAN)
+    sources = planned(spark, plan)
 
     chunk = F.pmod(F.col("__mix_fine"), F.lit(split)).alias("__mix_chunk")
     cells = counted.groupBy("__mix_source", "__mix_class", chunk).agg(F.sum("__mix_n").alias("__mix_n"))

@@ -46,7 +46,7 @@ SMALL = 4  # groups of so many documents are compared pair by pair, larger ones
 SIZE, MEMBER, PAIR, KEYS = range(4)
 BLOCK = 1024  # members of a large group that meet as many others in one task
 FEW = 64  # groups of up to so many members are met many at once
-CELLS = 1 << 23  # differences of sketch bins held at once
+CELLS = 1 << 20  # differences of sketch bins held at once
 SENT_SKETCHES, SENT_BYTES = 20_000, 32 << 20  # sketches, and bytes of texts, that are sent to the tasks instead of being dealt by id
 WIDE_HOT, WIDE_RATE = 10.0, 0.3  # candidates expected from a key of no tokens, and the share left by each token
 DEALT = "kind int, bucket int, id bigint, n bigint, keys binary, ids binary"
@@ -279,10 +279,18 @@ def _sketches(width: int):
     return sketches
 
 
+def folded(bins: list[bytes], width: int) -> np.ndarray:
+    """Sketches of any length as rows of ``width`` bins."""
+    out = np.empty((len(bins), width), np.int32)
+    for row, b in zip(out, bins):
+        np.frombuffer(b, np.uint8).reshape(-1, width).sum(axis=0, out=row)
+    return out
+
+
 def near_pairs(percent: int, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, bins: list[bytes], left: np.ndarray, right: np.ndarray):
     """Pairs of a left and a right row with different labels whose sketches let them meet the threshold."""
     width = min(map(len, bins))
-    table_ = np.array([np.frombuffer(b, np.uint8).reshape(-1, width).sum(axis=0) for b in bins], np.int32)
+    table_ = folded(bins, width)
     step = max(1, CELLS // (width * len(right)))
     for at in range(0, len(left), step):
         rows = left[at : at + step]
@@ -306,7 +314,7 @@ def may_link(percent: int, sizes: np.ndarray, bins: list[bytes], left: np.ndarra
         for k in range(0, len(at), step):
             some = at[k : k + step]
             use, place = np.unique(np.concatenate([left[some], right[some]]), return_inverse=True)
-            table_ = np.array([np.frombuffer(bins[u], np.uint8).reshape(-1, width).sum(axis=0) for u in use.tolist()], np.int32)
+            table_ = folded([bins[u] for u in use.tolist()], width)
             apart = np.abs(table_[place[: len(some)]] - table_[place[len(some) :]]).sum(axis=1)
             both = sizes[left[some]] + sizes[right[some]]
             common = (both - apart) // 2

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -243,6 +244,18 @@ def test_mixing_meets_targets(spark):
     assert mixing.emit(mixed).count() == mixed.agg(F.sum("copies")).first()[0]
 
 
+def test_mixing_shuffles_the_texts_once_and_needs_no_python_worker(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")  # the documents are more, the sources less
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("w"), "id").alias("text"), F.when(F.col("id") % 4 > 0, F.concat(F.lit("s"), F.col("id") % 4)).alias("source"))
+    mixed = mixing.mix(docs)
+    plan = mixed._jdf.queryExecution().explainString(mixed._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"\) Exchange\s+Input \[\d+\]: \[([^\]]*)\]", plan)
+    assert sum("text#" in columns for columns in shuffled) == 1
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    assert {r["source"] for r in mixed.collect()} == {None, "s1", "s2", "s3"}
+
+
 def test_targets_share_the_excess():
     assert mixing.targets([("a", 10), ("b", 1000), ("c", 1000)], (5, 2, 1), 3) == [30.0, 2 * 1980 / 3, 1980 / 3]
     assert mixing.targets([("a", 0), ("b", 9)], (5, 2, 1), 3) == [0.0, 9.0]
@@ -380,6 +393,18 @@ def test_sketches_keep_every_linked_pair_and_few_others():
     assert linked and linked <= found and len(found) < 200  # of about 2700 pairs
 
 
+def test_near_pairs_holds_few_megabytes():
+    rng = np.random.default_rng(4)
+    bins = [rng.integers(0, 2, 2048, np.uint8).tobytes() for _ in range(300)]
+    bins[299] = bins[0]
+    sizes, ids = np.array([sum(b) for b in bins]), np.arange(300)
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in ngram_join.near_pairs(99, ids, ids, sizes, bins, ids, ids))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 2 and most < 16 << 20  # the sketches take 2.5 MB
+
+
 @pytest.mark.parametrize("block", [1024, 7])
 def test_ngram_join_compares_few_pairs_of_a_group_below_the_threshold(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
