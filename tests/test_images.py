@@ -193,3 +193,20 @@ def test_entries_hold_the_colour_form_of_an_image(spark):
     assert got == {
         "grey": (2, 3, 3, bytes(v for v in range(6) for _ in range(3))), "alpha": (1, 2, 3, bytes([0, 1, 2, 4, 5, 6])), "bgr": (1, 1, 3, b"abc"),
     }
+
+
+def test_an_empty_text_is_an_image_of_no_pixels(spark, tmp_path):
+    from larder.catalog import images as C
+
+    rows = [(1, "", "en", "a", 0), (2, None, "en", "a", None), (3, "x" * 100, "en", "a", 100), (20, "", None, "a", 0), (40, "yz" * 300, "en", "a", 600)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    empty = {"images/en__a_1.jpg", "images"}
+    got = {r["key"]: tuple(r)[1:] for r in C.image_metrics(spark, str(tmp_path)).collect()}
+    assert {k for k, v in got.items() if v == (0, 0, 0.0, None)} == empty and got["images/en__a_2.jpg"] == (None, None, 0.0, None) and len(got) == 5
+    for query in (C.image_reasons, C.image_screen):
+        got = {r["key"]: r["reason"] for r in query(spark, str(tmp_path)).collect()}
+        assert {k for k, reason in got.items() if reason == "corrupted"} == empty | {"images/en__a_2.jpg"} and len(got) == 5
+    whole = {"images/en__a_3.jpg", "images/en__a_40.jpg"}
+    assert {r["object_key"] for r in C.image_records(spark, str(tmp_path)).collect()} == whole
+    assert {(r["query_id"], r["id"]) for r in C.image_neighbours(spark, str(tmp_path)).collect()} == {("images/en__a_40.jpg", k) for k in whole}
+    assert C.image_boxes(spark, str(tmp_path)).count() <= 2
