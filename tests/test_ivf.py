@@ -105,3 +105,14 @@ def test_few_candidates_leave_a_task_that_sees_the_nearest_last():
     got = set(zip(np.concatenate([np.asarray(b.column("query_id")) for b in found]).tolist(), np.concatenate([np.asarray(b.column("id")) for b in found]).tolist()))
     want = {(i, int(j)) for i, q in enumerate(Sent.value[1]) for j in np.argsort(np.square(vectors - q).sum(1))[:5]}
     assert want <= got and len(got) <= 3 * len(want)
+
+
+def test_every_stored_vector_is_a_query(spark, tmp_path):
+    from larder.catalog import retrieval as C
+
+    vectors = np.random.default_rng(9).normal(size=(130, 4))
+    rows = [(i + 1, [float(x) for x in v], i % 10) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    want = {i + 1: [j + 1 for j in found] for i, found in brute(vectors.astype(np.float32), vectors.astype(np.float32), 5).items()}
+    assert ranked(C.knn_index(spark, str(tmp_path))) == want
+    assert tuple(C.knn_index_recall(spark, str(tmp_path)).first()) == (130, 650, True)
