@@ -2,13 +2,15 @@
 
 Tasks stage their objects under names of their own attempt and return one manifest row for each; the manifest is a Parquet table, so
 Spark's commit leaves the rows of the successful attempts only. A second job moves what the manifest names to the final keys, which may be
-repeated. What lost or failed attempts left goes with the staging folder. The driver sees counts, never keys.
+repeated. What lost or failed attempts left goes with the staging folder. The driver sees counts, never keys; folders are listed by tasks, too.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 from posixpath import dirname, join
 
 import pyarrow as pa
@@ -16,9 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.session import many_files, ship_package, staging_path
+from larder.session import many_files, ship_package, staged, staging_path
 
 MANIFEST = "key string, staged string, bytes bigint"
+LISTED = "key string, length bigint"
+STORED = f"{LISTED}, content binary"
+LISTED_ROWS = 10_000  # names in a batch
+READ_ROWS, READ_BYTES = 500, 8 << 20  # objects in a batch
+TASK_OBJECTS = 20_000  # objects that a task reads
 
 
 def _files(path: str):
@@ -128,14 +135,141 @@ def remove_objects(keys: DataFrame, path: str) -> int:
     return keys.select("key").mapInArrow(remove, "n bigint").agg(F.sum("n")).first()[0] or 0
 
 
-def stored_objects(spark: SparkSession, path: str) -> DataFrame:
-    """``key, length, content`` of the objects under a folder; an absent folder has none, and Spark leaves out empty objects."""
+def root_of(spark: SparkSession, path: str) -> str | None:
+    """A folder with its scheme, as Spark's readers name it; None when there is none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return spark.createDataFrame([], "key string, length bigint, content binary")
+    return files.getFileStatus(folder).getPath().toString().rstrip("/") if files.exists(folder) else None
+
+
+def opened_in_tasks(root: str) -> bool:
+    """Whether tasks can open a folder by themselves; some stores are known to Spark's readers only."""
+    try:
+        return _files(root) is not None
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers leave out."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _entries(files, folder: str) -> Iterator[tuple[str, int | None]]:
+    """Names and lengths, none for a folder, of what is in a folder; a local one is never held as a whole."""
+    from pyarrow import fs
+
+    if not isinstance(files, fs.LocalFileSystem):
+        for info in files.get_file_info(fs.FileSelector(folder)):
+            yield info.base_name, None if info.type == fs.FileType.Directory else info.size
+        return
+    with os.scandir(folder) as found:
+        for entry in found:
+            try:
+                yield entry.name, None if entry.is_dir() else entry.stat().st_size
+            except FileNotFoundError:  # a link to nothing, or gone meanwhile
+                continue
+
+
+def _list(root: str):
+    """Files and folders in each of some folders, under their keys."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int | None]]:
+        files, top = _files(root)
+        for batch in batches:
+            for folder in batch.column("key").to_pylist():
+                for name, length in _entries(files, join(top, folder)):
+                    if not _hidden(name):
+                        yield join(folder, name), length
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, int | None]] = []
+
+        def sent() -> pa.RecordBatch:
+            keys, lengths = zip(*held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(lengths, pa.int64())], names=["key", "length"])
+
+        for row in rows(batches):
+            held.append(row)
+            if len(held) == LISTED_ROWS:
+                yield sent()
+        if held:
+            yield sent()
+
+    return listing
+
+
+def listed_objects(spark: SparkSession, root: str) -> DataFrame:
+    """``key, length`` of the objects that are not empty below a folder (``root_of``), as a stored table.
+
+    Folders are listed in the tasks, one level after the other, each folder by one task. Hidden names are left out as by Spark's readers.
+    """
+    ship_package(spark)
+    folders, levels = spark.range(1).select(F.lit("").alias("key")), []
+    while True:
+        levels.append(staged(folders.mapInArrow(_list(root), LISTED), "listing"))
+        inner = levels[-1].filter("length IS NULL").select("key")
+        count = inner.count()
+        if not count:
+            break
+        folders = inner.repartition(min(count, 4 * spark.sparkContext.defaultParallelism))
+    return reduce(DataFrame.union, levels).filter("length > 0")
+
+
+def read_objects(listed: DataFrame, root: str, count: int | None = None) -> DataFrame:
+    """``key, length, content`` of listed objects (``key``), dealt out to the tasks; ``count`` of them, if known."""
+    spark = listed.sparkSession
+    skipped = str(spark.conf.get("spark.sql.files.ignoreMissingFiles")).lower() == "true"
+
+    def contents(keys: Iterator[str]) -> Iterator[tuple[str, bytes]]:
+        files, top = _files(root)
+        for key in keys:
+            try:
+                with files.open_input_stream(join(top, key), compression=None) as stored:
+                    yield key, stored.read()
+            except FileNotFoundError:
+                if not skipped:
+                    raise
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, bytes]] = []
+        size = 0
+
+        def sent() -> pa.RecordBatch:
+            keys, texts = zip(*held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(texts, pa.binary())], names=["key", "length", "content"])
+
+        for key, content in contents(key for batch in batches for key in batch.column("key").to_pylist()):
+            if held and size + len(content) > READ_BYTES:
+                yield sent()
+                size = 0
+            held.append((key, content))
+            size += len(content)
+            if len(held) == READ_ROWS:
+                yield sent()
+                size = 0
+        if held:
+            yield sent()
+
+    ship_package(spark)
+    cores, n = spark.sparkContext.defaultParallelism, listed.count() if count is None else count
+    tasks = max(1, min(cores, -(-n // 16)), -(-n // TASK_OBJECTS))
+    return listed.select("key").repartition(tasks).mapInArrow(read, STORED)
+
+
+def stored_objects(spark: SparkSession, path: str) -> DataFrame:
+    """``key, length, content`` of the objects under a folder; an absent folder has none, and empty objects are left out.
+
+    Where only Spark's readers can open the store, the driver lists the folder.
+    """
+    root = root_of(spark, path)
+    if root is None:
+        return spark.createDataFrame([], STORED)
+    if opened_in_tasks(root):
+        return read_objects(listed_objects(spark, root), root)
     many_files(spark)
-    root = files.getFileStatus(folder).getPath().toString().rstrip("/")
     bare = F.regexp_replace("path", "^file:/+", "file:/")
     key = F.substring(bare, len("file:/" + root[len("file:"):].lstrip("/") if root.startswith("file:") else root) + 2, 2**31 - 1)
     stored = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

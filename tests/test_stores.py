@@ -204,3 +204,37 @@ def test_many_small_files_come_in_few_tasks(spark, tmp_path):
     for i in range(400):
         (tmp_path / f"f{i}.txt").write_text("x")
     assert stored_objects(spark, str(tmp_path)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_tasks_list_folders_as_spark_does(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"d{i % 3}" / "é f").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"d{i % 3}" / "é f" / f"{i} %.txt.gz").write_text(f"{i}")
+    for name in ("top.txt", ".hidden", "_left", "_a=b", "d0/empty", "d1/x._COPYING_", "d2/_metadata_x"):
+        (tmp_path / name).write_text("" if name.endswith("empty") else name)
+    (tmp_path / "_staged").mkdir()
+    (tmp_path / "_staged" / "x").write_text("x")
+    (tmp_path / "d0" / "nowhere").symlink_to(tmp_path / "none")
+    stored = objects.stored_objects(spark, str(tmp_path))
+    assert len(stored.inputFiles()) <= 3 * spark.sparkContext.defaultParallelism
+    got = sorted((r["key"], r["length"], bytes(r["content"])) for r in stored.collect())
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path)).collect()
+    assert got == sorted((r["path"].split(f"{tmp_path}/")[1], r["length"], bytes(r["content"])) for r in files) and len(got) == 302
+
+
+def test_a_stream_keeps_no_path_of_a_file_at_the_driver(spark, tmp_path):
+    src, run = tmp_path / "src", lambda: land_stream(spark, str(src), str(tmp_path / "cp"), str(tmp_path / "out"), "ds", batch_files=20).awaitTermination()
+    src.mkdir()
+    for i in range(50):
+        (src / f"f{i}.json").write_text(f"{i}")
+    run()
+    remembered = "".join(p.read_text() for p in (tmp_path / "cp" / "sources").rglob("*") if p.is_file() and not p.name.startswith("."))
+    assert remembered.count('"path"') == 3 and "f7.json" not in remembered
+    (src / "new.json").write_text("new")
+    # Listed by a run that ended before it landed anything.
+    spark.createDataFrame([("new.json", 3)], objects.LISTED).write.mode("append").parquet(str(tmp_path / "cp" / "listings"))
+    (src / "f7.json").write_text("read before")
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(bytes(r["content"]).decode() for r in rows) == sorted([f"{i}" for i in range(50)] + ["new"])
+    assert all(r["key"].startswith(f"file:{tmp_path}/src/") for r in rows)
